@@ -6,7 +6,7 @@ rows are broadcast, larger ones go through the hot-key-safe shuffle lookup.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +16,7 @@ from loanloom.operators import joins
 from loanloom.operators.catstats import CategoryStats, detect_categories
 from loanloom.operators.ordered import running_totals
 from loanloom.schema import GROUP_STAT_COLS, ID_COL, TARGET_COL
+from loanloom.session import materialize
 
 
 def smoothed_mean(smoothing: float) -> Column:
@@ -37,44 +38,42 @@ def apply_maps(
     df: DataFrame,
     stats: CategoryStats,
     maps: DataFrame,
-    cols: Sequence[str],
-    values: Mapping[str, Callable[[str], str]],
-    defaults: Mapping[str, float | None],
+    outputs: Mapping[str, Mapping[str, str]],
+    defaults: Mapping[str, float],
     by_fold: str | None = None,
     limit: int | None = None,
     weight: str = "n",
 ) -> DataFrame:
-    """Look every column of ``cols`` up in ``maps``.
+    """Look columns up in ``maps`` and write the found values.
 
     ``maps`` has (column_name, category[, fold_id], weight, value columns...);
-    ``values`` names the output column of each value column for an input column.
+    ``outputs`` gives, per input column, value column -> output column. All
+    lookups read one written table and end in one projection.
     """
     limit = joins.BROADCAST_ROWS if limit is None else limit
-    rows = df
-    for c in cols:
-        n_rows = stats.sizes.get(c, 0) * (len(stats.folds) if by_fold else 1)
-        keys = ["_cat"] + (["_fold"] if by_fold else [])
-        picked = [F.col("category").alias("_cat")]
+    maps = materialize(maps)
+    keyed = {f"_cat_{i}": category_text(c) for i, c in enumerate(outputs)}
+    if by_fold:
+        keyed["_fold"] = F.col(by_fold).cast("int")
+    rows = df.withColumns(keyed)
+    new: dict[str, Column] = {}
+    for i, (c, names) in enumerate(outputs.items()):
+        keys = [f"_cat_{i}"] + (["_fold"] if by_fold else [])
+        picked = [F.col("category").alias(keys[0])]
         if by_fold:
             picked.append(F.col("fold_id").alias("_fold"))
         table = maps.where(F.col("column_name") == c).select(
-            *picked, F.col(weight).alias("_weight"), *[F.col(v).alias(f"_new_{v}") for v in values])
-        keyed = rows.withColumn("_cat", category_text(c))
-        if by_fold:
-            keyed = keyed.withColumn("_fold", F.col(by_fold))
-        found = joins.lookup(keyed, table, keys, n_rows, "_weight", limit)
-        new = {}
-        for v, name in values.items():
-            hit = F.col(f"_new_{v}")
-            default = defaults.get(v)
-            new[name(c)] = hit if default is None else F.coalesce(hit, F.lit(default))
-        done = found.withColumns({f"_out_{i}": e for i, e in enumerate(new.values())})
-        fresh = {name: F.col(f"_out_{i}") for i, name in enumerate(new)}
-        # keep the column order of the input; a replaced column stays in place
-        rows = done.select(
-            *[fresh.get(k, F.col(k)).alias(k) for k in rows.columns],
-            *[e.alias(k) for k, e in fresh.items() if k not in rows.columns])
-    return rows
+            *picked, F.col(weight).alias("_weight"),
+            *[F.col(v).alias(f"_{i}_{v}") for v in names])
+        n_rows = stats.sizes.get(c, 0) * (len(stats.folds) if by_fold else 1)
+        rows = joins.lookup(rows, table, keys, n_rows, "_weight", limit)
+        for v, name in names.items():
+            hit = F.col(f"_{i}_{v}")
+            new[name] = F.coalesce(hit, F.lit(defaults[v])) if v in defaults else hit
+    # the column order of the input is kept; a replaced column stays in place
+    return rows.select(
+        *[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in df.columns],
+        *[e.alias(c) for c, e in new.items() if c not in df.columns])
 
 
 class CategoryEncoder:
@@ -104,10 +103,11 @@ class CategoryEncoder:
     def _name(self, c: str) -> str:
         return f"{c}{self.suffix}"
 
-    def _apply(self, df: DataFrame, maps: DataFrame, default: float | None,
+    def _apply(self, df: DataFrame, maps: DataFrame, default: float,
                by_fold: str | None = None, weight: str = "n") -> DataFrame:
-        return apply_maps(df, self._fitted(), maps, self.cat_cols, {"value": self._name},
-                          {"value": default}, by_fold, self.broadcast_limit, weight)
+        outputs = {c: {"value": self._name(c)} for c in self.cat_cols}
+        return apply_maps(df, self._fitted(), maps, outputs, {"value": default}, by_fold,
+                          self.broadcast_limit, weight)
 
 
 class FrequencyEncoder(CategoryEncoder):
@@ -205,9 +205,9 @@ class GroupStatsEncoder(CategoryEncoder):
     def _add(self, df: DataFrame, counts: DataFrame, by_fold: str | None, weight: str) -> DataFrame:
         maps = counts.withColumns({
             "rate": F.col("pos").cast("double") / F.col("n"), "loans": F.col("n")})
-        cols = [c for c in self.cat_cols if c in df.columns]
-        names = {"rate": lambda c: f"{c}_default_rate", "loans": lambda c: f"{c}_loan_count"}
-        return apply_maps(df, self._fitted(), maps, cols, names, {}, by_fold,
+        outputs = {c: {"rate": f"{c}_default_rate", "loans": f"{c}_loan_count"}
+                   for c in self.cat_cols if c in df.columns}
+        return apply_maps(df, self._fitted(), maps, outputs, {}, by_fold,
                           self.broadcast_limit, weight)
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -246,17 +246,15 @@ class FoldEncoder:
             "mean": smoothed_mean(self.smoothing), "woe": weight_of_evidence(0.5),
             "rate": F.col("pos").cast("double") / F.col("n"), "loans": F.col("n")})
         low = self.stats.low_cardinality(self.woe_limit)
+        outputs: dict[str, dict[str, str]] = {}
         for c in self.cat_cols:
-            names: dict = {}
+            outputs[c] = {"mean": c}
             if c in low:
-                names["woe"] = lambda k: f"{k}_woe"
+                outputs[c]["woe"] = f"{c}_woe"
             if c in self.group_cols:
-                names["rate"] = lambda k: f"{k}_default_rate"
-                names["loans"] = lambda k: f"{k}_loan_count"
-            names["mean"] = lambda k: k
-            df = apply_maps(df, self.stats, maps, [c], names, {"mean": prior, "woe": 0.0},
-                            by_fold, weight=weight)
-        return df
+                outputs[c].update(rate=f"{c}_default_rate", loans=f"{c}_loan_count")
+        return apply_maps(df, self.stats, maps, outputs, {"mean": prior, "woe": 0.0}, by_fold,
+                          weight=weight)
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Rows that were not in training: statistics of all training rows."""

@@ -86,11 +86,12 @@ class BaseFeatureEngineer:
         return df.withColumns(filled) if filled else df
 
     def rank_features(self, df: DataFrame) -> DataFrame:
-        """Percentile ranks within the rows passed in."""
+        """Percentile ranks within the rows passed in, all read from ``df`` itself."""
+        out = df
         for name, value, group in self.RANKS:
             if value in df.columns and group in df.columns:
-                df = percent_rank_in_group(df, value, [group], name)
-        return df
+                out = percent_rank_in_group(out, value, [group], name, source=df)
+        return out
 
     def transform(self, df: DataFrame) -> DataFrame:
         out = self.impute(loan.missing_flags(df))

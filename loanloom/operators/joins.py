@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A lookup table of at most this many rows is broadcast.
@@ -16,15 +16,15 @@ SPREAD = 1 << 16
 
 
 def lookup(rows: DataFrame, table: DataFrame, on: Sequence[str], n_rows: int,
-           weight: str, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Left lookup in a table with unique keys whose row count is known."""
+           weight: str, limit: int = BROADCAST_ROWS, total: int | None = None) -> DataFrame:
+    """Left lookup in a table with unique keys and at most ``n_rows`` rows."""
     if n_rows <= limit:
         return rows.join(F.broadcast(table.drop(weight)), list(on), "left")
-    return hot_key_lookup(rows, table, on, weight)
+    return hot_key_lookup(rows, table, on, weight, total)
 
 
 def hot_key_lookup(rows: DataFrame, table: DataFrame, on: Sequence[str], weight: str,
-                   total: int | Column | None = None) -> DataFrame:
+                   total: int | None = None) -> DataFrame:
     """Left lookup in a table of any size, ``weight`` = matching rows per key.
 
     Hot keys are answered by a broadcast of at most ``HOT_PARTS`` rows. Their
@@ -33,11 +33,8 @@ def hot_key_lookup(rows: DataFrame, table: DataFrame, on: Sequence[str], weight:
     """
     on = list(on)
     payload = [c for c in table.columns if c not in on and c != weight]
-    if total is None:
-        total = table.agg(F.sum(weight)).scalar()
-    elif not isinstance(total, Column):
-        total = F.lit(total)
-    is_hot = F.col(weight) * F.lit(HOT_PARTS) >= total
+    whole = table.agg(F.sum(weight)).scalar() if total is None else F.lit(total)
+    is_hot = F.col(weight) * F.lit(HOT_PARTS) >= whole
     hot = table.where(is_hot).select(*on, F.struct(*payload).alias("_hot"))
     cold = table.where(~is_hot).select(
         *on, F.lit(0).alias("_salt"), F.struct(*payload).alias("_cold"))

@@ -158,8 +158,8 @@ def evaluate(df: DataFrame, label: str = TARGET_COL, score: str = "score",
             .withColumn("threshold", F.lit(float(threshold))))
 
 
-def fold_summary(df: DataFrame, label: str = TARGET_COL, score: str = "score",
-                 keys: Sequence[str] = ("model",), fold: str = "fold_id") -> DataFrame:
+def fold_aucs(df: DataFrame, label: str = TARGET_COL, score: str = "score",
+              keys: Sequence[str] = ("model",), fold: str = "fold_id") -> DataFrame:
     """(keys, fold_aucs, mean_auc, std_auc) with the population deviation."""
     per_fold = roc_auc(df, label, score, [*keys, fold])
     return per_fold.groupBy(*keys).agg(

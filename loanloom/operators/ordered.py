@@ -16,7 +16,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanloom.operators.joins import hot_key_lookup
+from loanloom.operators.joins import BROADCAST_ROWS, lookup
 
 ROWS_PER_BUCKET = 200_000
 MAX_BUCKETS = 8192
@@ -25,7 +25,7 @@ SAMPLE_PER_BUCKET = 16
 SMALL_AGGREGATE = 1_000_000
 
 
-def bucket_count(n_rows: int, buckets: int | None = None) -> int:
+def bucket_count(n_rows: int | None, buckets: int | None = None) -> int:
     if buckets is not None:
         return max(1, buckets)
     return max(1, min(MAX_BUCKETS, math.ceil(n_rows / ROWS_PER_BUCKET)))
@@ -86,18 +86,21 @@ def running_totals(
     keys: Sequence[str] = (),
     sums: Mapping[str, Column] | None = None,
     buckets: int | None = None,
+    n_rows: int | None = None,
 ) -> DataFrame:
     """One row per group and distinct value, in rising order of the value.
 
     ``n`` counts the rows; each entry of ``sums`` is summed too. For every sum
     ``x`` there are ``before_x`` (over smaller values) and ``total_x`` (over the
-    group). Rows with a null value or group are left out.
+    group). Rows with a null value or group are left out. The rows are counted
+    first unless the caller knows ``n_rows``.
     """
     keys = list(keys)
     rows = _present(df, [*keys, value])
     extra = dict(sums or {})
     names = ["n", *extra]
-    n_rows = rows.count()
+    if n_rows is None and buckets != 1:
+        n_rows = rows.count()
     buckets = bucket_count(n_rows, buckets)
     cuts = _cut_points(rows, value, keys, n_rows, buckets)
     collapsed = rows.groupBy(*keys, value).agg(
@@ -116,20 +119,29 @@ def running_totals(
 
 
 def average_ranks(df: DataFrame, value: str, keys: Sequence[str] = (),
-                  buckets: int | None = None) -> DataFrame:
+                  buckets: int | None = None, n_rows: int | None = None) -> DataFrame:
     """Average-tie rank of every distinct value in its group, with its count."""
-    t = running_totals(df, value, keys, buckets=buckets)
+    t = running_totals(df, value, keys, buckets=buckets, n_rows=n_rows)
     return t.select(
         *keys, value, "n", F.col("total_n").alias("group_n"),
         (F.col("before_n") + (F.col("n") + 1) / F.lit(2.0)).alias("avg_rank"))
 
 
 def percent_rank_in_group(df: DataFrame, value: str, keys: Sequence[str] = (),
-                          output: str = "pct_rank", buckets: int | None = None) -> DataFrame:
-    """Add rank / group size with average ties; null value or group gives null."""
-    ranks = average_ranks(df, value, keys, buckets)
+                          output: str = "pct_rank", buckets: int | None = None,
+                          source: DataFrame | None = None,
+                          broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Add rank / group size with average ties; null value or group gives null.
+
+    ``source`` may hold the same rows with fewer columns and a shorter plan; the
+    ranks are computed from it.
+    """
+    keys = list(keys)
+    base = (df if source is None else source).select(*keys, value)
+    n_rows = _present(base, [*keys, value]).count()
+    ranks = average_ranks(base, value, keys, buckets, n_rows)
     table = ranks.select(*keys, value, "n", (F.col("avg_rank") / F.col("group_n")).alias(output))
-    return hot_key_lookup(df, table, [*keys, value], "n")
+    return lookup(df, table, [*keys, value], n_rows, "n", broadcast_rows, total=n_rows)
 
 
 def hash_row_numbers(df: DataFrame, order: Column, id_col: str, keys: Sequence[str] = (),

@@ -6,16 +6,13 @@ import hashlib
 from collections.abc import Sequence
 from typing import Any
 
-from pyspark.sql import SparkSession
-
 
 def _unit(seed: int, trial: int, name: str) -> float:
     text = f"{seed}:{trial}:{name}".encode()
     return int(hashlib.md5(text).hexdigest()[:7], 16) / 16**7
 
 
-def unit_values(spark: SparkSession | None, names: Sequence[str], n_trials: int,
-                seed: int = 42) -> list[dict[str, float]]:
+def unit_values(names: Sequence[str], n_trials: int, seed: int = 42) -> list[dict[str, float]]:
     """Numbers in [0, 1) per trial and name, from the md5 of seed, trial and name."""
     return [{n: _unit(seed, t, n) for n in names} for t in range(n_trials)]
 
@@ -104,7 +101,7 @@ def suggest(space: str | dict[str, tuple], n_trials: int, seed: int = 42) -> lis
             raise ValueError(f"No search space for '{space}'.")
         space = SEARCH_SPACES[space]
     out = []
-    for units in unit_values(None, list(space), n_trials, seed):
+    for units in unit_values(list(space), n_trials, seed):
         picked: dict[str, Any] = {}
         for name, rule in space.items():
             if isinstance(rule[-1], tuple) and picked.get(rule[-1][0]) != rule[-1][1]:
