@@ -127,23 +127,32 @@ def average_ranks(df: DataFrame, value: str, keys: Sequence[str] = (),
         (F.col("before_n") + (F.col("n") + 1) / F.lit(2.0)).alias("avg_rank"))
 
 
-def percent_rank_in_group(df: DataFrame, value: str, keys: Sequence[str] = (),
-                          output: str = "pct_rank", buckets: int | None = None,
-                          source: DataFrame | None = None,
-                          broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Add rank / group size with average ties; null value or group gives null.
-
-    ``source`` may hold the same rows with fewer columns and a shorter plan; the
-    ranks are computed from it.
+def attach_ranks(df: DataFrame, value: str, keys: Sequence[str] = (), rank: str = "avg_rank",
+                 size: str = "group_n", buckets: int | None = None,
+                 source: DataFrame | None = None,
+                 broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Add the average-tie rank of every row and the size of its group.
+
+    A null value or group gives nulls. ``source`` may hold the same rows with
+    fewer columns and a shorter plan; the ranks are computed from it.
     """
     keys = list(keys)
     base = (df if source is None else source).select(*keys, value)
     n_rows = _present(base, [*keys, value]).count()
-    ranks = average_ranks(base, value, keys, buckets, n_rows)
-    table = ranks.select(*keys, value, "n", (F.col("avg_rank") / F.col("group_n")).alias(output))
+    table = average_ranks(base, value, keys, buckets, n_rows).select(
+        *keys, value, "n", F.col("avg_rank").alias(rank), F.col("group_n").alias(size))
     return lookup(df, table, [*keys, value], n_rows, "n", broadcast_rows, total=n_rows)
 
 
+def percent_rank_in_group(df: DataFrame, value: str, keys: Sequence[str] = (),
+                          output: str = "pct_rank", buckets: int | None = None,
+                          source: DataFrame | None = None,
+                          broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Add rank / group size with average ties; null value or group gives null."""
+    ranked = attach_ranks(df, value, keys, "_rank", "_size", buckets, source, broadcast_rows)
+    return ranked.select(*df.columns, (F.col("_rank") / F.col("_size")).alias(output))
+
+
 def hash_row_numbers(df: DataFrame, order: Column, id_col: str, keys: Sequence[str] = (),
                      across: Sequence[str] = (), digits: int = 3,
                      output: str = "row_number") -> DataFrame:

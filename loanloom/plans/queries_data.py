@@ -54,7 +54,7 @@ raw_dates AS (
     when 6 then strftime(date_approved, '%d.%m.%Y') when 7 then strftime(date_approved, '%-d/%-m/%y')
     when 8 then 'not a date' end AS raw FROM loans),
 parsed_dates AS (
-  SELECT ID, raw, cast(case when regexp_matches(raw, '^[0-9]+/[0-9]+/[0-9]{2}$')
+  SELECT ID, raw, cast(case when regexp_matches(raw, '^[0-9]{1,2}/[0-9]{1,2}/[0-9]{2}$')
     then try_strptime(raw, '%d/%m/%y')
     else try_strptime(raw, ['%d/%m/%Y', '%Y-%m-%d', '%Y/%m/%d', '%d-%b-%Y', '%d-%m-%Y', '%d.%m.%Y'])
     end as date) AS parsed FROM raw_dates)
