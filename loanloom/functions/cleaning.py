@@ -11,8 +11,15 @@ from loanloom.schema import DATE_FORMATS, NA_TOKENS
 def parse_date(col: str | Column, formats: list[str] | None = None) -> Column:
     """First format that fits wins (day before month); otherwise null."""
     c = F.trim(F.col(col) if isinstance(col, str) else col)
-    tries = [F.try_to_timestamp(c, F.lit(f)).cast("date") for f in formats or DATE_FORMATS]
-    return F.coalesce(*tries)
+    return F.coalesce(*[_one_format(c, f) for f in formats or DATE_FORMATS])
+
+
+def _one_format(c: Column, fmt: str) -> Column:
+    day = F.try_to_timestamp(c, F.lit(fmt)).cast("date")
+    if "yyyy" in fmt:
+        return day
+    # two-digit years mean 1969 to 2068, not 2000 to 2099
+    return F.when(F.year(day) >= 2069, F.add_months(day, -1200)).otherwise(day)
 
 
 def parse_number(col: str | Column) -> Column:
