@@ -24,16 +24,22 @@ def score_totals(df: DataFrame, label: str = TARGET_COL, score: str = "score",
     return running_totals(df, score, keys, {"pos": F.col(label).cast("long")}, buckets)
 
 
-def _auc(t: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _neg_total() -> Column:
+    return F.max(F.col("total_n") - F.col("total_pos"))
+
+
+def _auc_value() -> Column:
     """Share of (positive, negative) pairs in the right order, ties one half."""
     neg = (F.col("n") - F.col("pos")).cast("double")
     neg_below = (F.col("before_n") - F.col("before_pos")).cast("double")
     won = F.sum(F.col("pos") * (neg_below + neg / 2.0))
-    pos_n = F.max("total_pos")
-    neg_n = F.max(F.col("total_n") - F.col("total_pos"))
+    return F.try_divide(won, F.max("total_pos").cast("double") * _neg_total().cast("double"))
+
+
+def _auc(t: DataFrame, keys: Sequence[str]) -> DataFrame:
     return t.groupBy(*keys).agg(
-        F.try_divide(won, pos_n.cast("double") * neg_n.cast("double")).alias("roc_auc"),
-        F.max("total_n").alias("n"), pos_n.alias("positives"))
+        _auc_value().alias("roc_auc"), F.max("total_n").alias("n"),
+        F.max("total_pos").alias("positives"))
 
 
 def roc_auc(df: DataFrame, label: str = TARGET_COL, score: str = "score",
@@ -62,16 +68,19 @@ def _points(t: DataFrame, score: str, keys: Sequence[str]) -> DataFrame:
     return rows.withColumns({"tpr": F.col("recall"), "f1": f1})
 
 
-def _average_precision(points: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _precision_value() -> Column:
+    """Sum of precision times recall gained, over falling thresholds."""
+    flagged = F.col("total_n") - F.col("before_n")
+    precision = (F.col("total_pos") - F.col("before_pos")) / flagged
     gain = F.try_divide(F.col("pos").cast("double"), F.col("total_pos").cast("double"))
-    return points.groupBy(*keys).agg(
-        F.coalesce(F.sum(gain * F.col("precision")), F.lit(0.0)).alias("pr_auc"))
+    return F.coalesce(F.sum(gain * precision), F.lit(0.0))
 
 
 def average_precision(df: DataFrame, label: str = TARGET_COL, score: str = "score",
                       keys: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
-    """Sum of precision times recall gained, over falling thresholds."""
-    return _average_precision(curve_points(df, label, score, keys, buckets), keys)
+    """(keys, pr_auc), exact with ties."""
+    return score_totals(df, label, score, keys, buckets).groupBy(*keys).agg(
+        _precision_value().alias("pr_auc"))
 
 
 def best_threshold(df: DataFrame, label: str = TARGET_COL, score: str = "score",
@@ -100,14 +109,17 @@ def _ratio(top: Column, bottom: Column) -> Column:
     return F.coalesce(F.try_divide(top.cast("double"), bottom.cast("double")), F.lit(0.0))
 
 
+def _flat_metrics(tp: Column, fp: Column, fn: Column, tn: Column) -> dict[str, Column]:
+    return {"accuracy": _ratio(tp + tn, tp + tn + fp + fn), "f1": _ratio(2 * tp, 2 * tp + fp + fn),
+            "precision": _ratio(tp, tp + fp), "recall": _ratio(tp, tp + fn)}
+
+
 def threshold_metrics(df: DataFrame, label: str = TARGET_COL, score: str = "score",
                       keys: Sequence[str] = (), threshold: float | Column = 0.5) -> DataFrame:
     """(keys, accuracy, f1, precision, recall); 0 where undefined."""
-    tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
+    flat = _flat_metrics(*(F.col(c) for c in ("tp", "fp", "fn", "tn")))
     return confusion_cells(df, label, score, keys, threshold).select(
-        *keys, _ratio(tp + tn, tp + tn + fp + fn).alias("accuracy"),
-        _ratio(2 * tp, 2 * tp + fp + fn).alias("f1"),
-        _ratio(tp, tp + fp).alias("precision"), _ratio(tp, tp + fn).alias("recall"))
+        *keys, *[e.alias(k) for k, e in flat.items()])
 
 
 def confusion_matrix(df: DataFrame, label: str = TARGET_COL, score: str = "score",
@@ -149,13 +161,17 @@ def classification_report(df: DataFrame, label: str = TARGET_COL, score: str = "
 def evaluate(df: DataFrame, label: str = TARGET_COL, score: str = "score",
              keys: Sequence[str] = ("model",), threshold: float = 0.5,
              buckets: int | None = None) -> DataFrame:
-    """One full metric row per key; the tables joined here have one row per key."""
-    t = score_totals(df, label, score, keys, buckets)
-    ranked = _auc(t, keys).select(*keys, "roc_auc")
-    precise = _average_precision(_points(t, score, keys), keys)
-    flat = threshold_metrics(df, label, score, keys, threshold)
-    return (ranked.join(precise, list(keys)).join(flat, list(keys))
-            .withColumn("threshold", F.lit(float(threshold))))
+    """One full metric row per key, from one aggregation of the running totals."""
+    hit = F.col(score) >= threshold
+    neg = F.col("n") - F.col("pos")
+    cells = {"tp": F.when(hit, F.col("pos")), "fp": F.when(hit, neg),
+             "fn": F.when(~hit, F.col("pos")), "tn": F.when(~hit, neg)}
+    row = score_totals(df, label, score, keys, buckets).groupBy(*keys).agg(
+        _auc_value().alias("roc_auc"), _precision_value().alias("pr_auc"),
+        *[F.coalesce(F.sum(e), F.lit(0)).alias(c) for c, e in cells.items()])
+    flat = _flat_metrics(*(F.col(c) for c in ("tp", "fp", "fn", "tn")))
+    return row.select(*keys, "roc_auc", "pr_auc", *[e.alias(k) for k, e in flat.items()],
+                      F.lit(float(threshold)).alias("threshold"))
 
 
 def fold_aucs(df: DataFrame, label: str = TARGET_COL, score: str = "score",

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from loanloom.operators.joins import BROADCAST_ROWS, lookup
 
-ROWS_PER_BUCKET = 200_000
+ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 8192
 SAMPLE_PER_BUCKET = 16
 # Up to this many values one exact percentile aggregate holds them all.

@@ -11,8 +11,10 @@ import json
 import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
                                        MultilayerPerceptronClassifier, RandomForestClassifier)
@@ -142,6 +144,12 @@ def assemble(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (ID_COL,
     return out.select(*kept, FEATURES)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """At least one partition per core; a table that is already split is left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def sparse_one_hot(cat_cols: Sequence[str], output: str = FEATURES) -> Pipeline:
     """Indexed and one-hot encoded categories as one sparse vector; unseen is its own slot."""
     idx = [f"_{c}_index" for c in cat_cols]
@@ -242,29 +250,36 @@ def cv_train(
     label: str = TARGET_COL,
     encode: Callable[[DataFrame, int], DataFrame] | None = None,
     encode_test: Callable[[DataFrame], DataFrame] | None = None,
+    parallelism: int = 5,
 ) -> CvResult:
     """Fit once per fold on the other folds, score the fold; test = mean over folds.
 
     ``train`` carries ID, target and ``fold_id``. With ``encode`` the training
     and held-out rows of fold k are encoded as ``encode(train, k)``, which may
-    only use other folds; ``encode_test`` encodes the test rows once.
+    only use other folds; ``encode_test`` encodes the test rows once. Up to
+    ``parallelism`` folds are fitted at the same time.
     """
     start = time.perf_counter()
     ks = [r[0] for r in train.select("fold_id").distinct().orderBy("fold_id").collect()]
     probe = encode(train, ks[0]) if encode else train
     cols = list(features or numeric_columns(probe, id_col, label))
     keep = (id_col, label, "fold_id")
-    fixed = None if encode else materialize(assemble(train, cols, keep))
+    fixed = None if encode else materialize(spread(assemble(train, cols, keep)))
     test_rows = None
     if test is not None:
         test_rows = assemble(encode_test(test) if encode_test else test, cols, (id_col,))
-    models, parts = [], []
-    for k in ks:
-        rows = fixed if fixed is not None else materialize(assemble(encode(train, k), cols, keep))
+
+    def one_fold(k: int) -> tuple[PipelineModel, DataFrame]:
+        rows = fixed if fixed is not None else materialize(spread(assemble(encode(train, k), cols, keep)))
         spec = build_model(name, params, len(cols))
         model = fit_model(spec, rows.where(F.col("fold_id") != k), early_stop, id_col)
-        models.append(model)
-        parts.append(score(model, rows.where(F.col("fold_id") == k), [id_col, label, "fold_id"]))
+        return model, score(model, rows.where(F.col("fold_id") == k), [id_col, label, "fold_id"])
+
+    # the fits are independent Spark jobs; the threads only submit them
+    task = inheritable_thread_target(train.sparkSession)(one_fold)
+    with ThreadPool(max(1, min(parallelism, len(ks)))) as pool:
+        done = pool.map(task, ks)
+    models, parts = [m for m, _ in done], [p for _, p in done]
     oof = parts[0]
     for p in parts[1:]:
         oof = oof.unionByName(p)

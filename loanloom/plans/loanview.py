@@ -10,8 +10,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from loanloom.schema import CATEGORICAL_COLS, DATE_COLS, ID_COL, NUMERIC_COLS, TARGET_COL
+from loanloom.session import materialize
 
 APPROVED = "cast(o_orderdate as date)"
 DISBURSED = f"({APPROVED} + cast(1 + k % 14 as int))"
@@ -68,8 +70,15 @@ SCORES = {
 }
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A source table; its schema is read from the file once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def loan_view(spark: SparkSession, sf_dir: str, cols: Sequence[str] | None = None) -> DataFrame:
@@ -123,6 +132,6 @@ def scored_rows(spark: SparkSession, sf_dir: str, models: Sequence[str] = ("s1",
 
 def long_scores(spark: SparkSession, sf_dir: str,
                 models: Sequence[str] = ("s1", "s2", "s3", "s4")) -> DataFrame:
-    """(ID, Target, model, score)."""
-    return scored_rows(spark, sf_dir, models).unpivot(
+    """(ID, Target, model, score), from scores that are written once."""
+    return materialize(scored_rows(spark, sf_dir, models)).unpivot(
         [ID_COL, TARGET_COL], list(models), "model", "score")

@@ -14,6 +14,7 @@ from loanloom.operators.features import modes
 from loanloom.plans.catalog import query
 from loanloom.plans.loanview import loan_view, scored_rows, test_rows, train_rows
 from loanloom.schema import CATEGORICAL_COLS, DATE_COLS, ID_COL, MISSING_FLAG_COLS, NUMERIC_COLS
+from loanloom.session import materialize
 
 def _k():
     return F.col("ID").cast("bigint")
@@ -143,7 +144,8 @@ def value_counts(spark, sf):
     f" cast(min({c}) as double) AS \"min\", cast(max({c}) as double) AS \"max\","
     f" count(*) FILTER ({c} is null) AS missing FROM train" for c in NUMERIC_COLS))
 def numeric_summary(spark, sf):
-    return profile.numeric_summary(train_rows(spark, sf, NUMERIC_COLS), NUMERIC_COLS).withColumns(
+    t = materialize(train_rows(spark, sf, NUMERIC_COLS))
+    return profile.numeric_summary(t, NUMERIC_COLS).withColumns(
         {"mean": F.round("mean", 6), "median": F.round("median", 6)})
 
 
@@ -191,7 +193,7 @@ def log_histogram(spark, sf):
     f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(corr({a}, {b}), 8) AS r FROM t"
     for i, a in enumerate(NUMERIC_COLS) for b in NUMERIC_COLS[i + 1:]))
 def correlation(spark, sf):
-    t = train_rows(spark, sf, NUMERIC_COLS)
+    t = materialize(train_rows(spark, sf, NUMERIC_COLS))
     filled = BaseFeatureEngineer(categorical_cols=["none"]).fit(t).impute(t)
     return profile.correlation(filled, NUMERIC_COLS).withColumn("r", F.round("r", 8))
 
@@ -213,7 +215,7 @@ aucs AS (SELECT column_name, (sum(case when Target = 1 then r else 0 end) - sum(
   / (sum(Target) * sum(1 - Target)) AS a FROM ranked GROUP BY column_name)
 SELECT column_name, round(greatest(a, 1 - a), 8) AS roc_auc FROM aucs""")
 def univariate_auc(spark, sf):
-    t = train_rows(spark, sf, [*NUMERIC_COLS, "Target"])
+    t = materialize(train_rows(spark, sf, [*NUMERIC_COLS, "Target"]))
     filled = BaseFeatureEngineer(categorical_cols=["none"]).fit(t).impute(t)
     tall = filled.unpivot(["Target"], NUMERIC_COLS, "column_name", "score")
     a = F.col("roc_auc")
@@ -241,12 +243,17 @@ def prediction_summary(spark, sf):
 
 # --- features --------------------------------------------------------------
 
+def _written(spark, sf, raw):
+    """The asked columns of all loans, written once for the passes of a fit; and the train part."""
+    rows = materialize(loan_view(spark, sf, [ID_COL, *raw, "is_test"]))
+    return rows.drop("is_test"), rows.where("is_test = 0").drop("is_test")
+
+
 def _engineered(spark, sf, raw, out, part="all"):
     """Medians and modes from the training rows, features for all asked rows."""
-    raw = [c for c in raw if c != ID_COL]
-    train = train_rows(spark, sf, [ID_COL, *raw])
+    rows, train = _written(spark, sf, [c for c in raw if c != ID_COL])
     eng = BaseFeatureEngineer(ranks=False).fit(train)
-    rows = train if part == "train" else loan_view(spark, sf, [ID_COL, *raw])
+    rows = train if part == "train" else rows
     return eng.transform(rows).select(*([ID_COL] if part != "train" else []), *out)
 
 
@@ -260,9 +267,8 @@ def missing_flags(spark, sf):
 
 @query("c02_median_impute", "SELECT ID, " + ", ".join(NUMERIC_COLS) + " FROM imp")
 def median_impute(spark, sf):
-    train = train_rows(spark, sf, NUMERIC_COLS)
-    eng = BaseFeatureEngineer(categorical_cols=["none"]).fit(train)
-    return eng.impute(loan_view(spark, sf, ["ID", *NUMERIC_COLS]))
+    rows, train = _written(spark, sf, NUMERIC_COLS)
+    return BaseFeatureEngineer(categorical_cols=["none"]).fit(train).impute(rows)
 
 
 @query("c02_medians", " UNION ALL ".join(
@@ -274,9 +280,8 @@ def median_table(spark, sf):
 
 @query("c03_mode_impute", "SELECT ID, " + ", ".join(CATEGORICAL_COLS) + " FROM imp")
 def mode_impute(spark, sf):
-    train = train_rows(spark, sf, CATEGORICAL_COLS)
-    eng = BaseFeatureEngineer(numeric_cols=["none"]).fit(train)
-    return eng.impute(loan_view(spark, sf, ["ID", *CATEGORICAL_COLS]))
+    rows, train = _written(spark, sf, CATEGORICAL_COLS)
+    return BaseFeatureEngineer(numeric_cols=["none"]).fit(train).impute(rows)
 
 
 def _feature(name, raw, out, digits=None):
@@ -373,8 +378,8 @@ def _extra(name, raw, out, sql, digits=None):
 
     @query(name, f"SELECT ID, {', '.join(pick)} FROM fe")
     def run(spark, sf):
-        train = train_rows(spark, sf, ["ID", *raw])
-        base = BaseFeatureEngineer(ranks=False).fit(train).transform(loan_view(spark, sf, ["ID", *raw]))
+        rows, train = _written(spark, sf, raw)
+        base = BaseFeatureEngineer(ranks=False).fit(train).transform(rows)
         got = loan.add_features(base, loan.EXTRA_FEATURES).select("ID", *cols)
         return got.withColumns({c: F.round(c, digits) for c in cols}) if digits else got
 

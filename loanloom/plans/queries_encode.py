@@ -111,7 +111,7 @@ def _fold_lookup_sql(values, out=None, source="trf t", fold="t.fold_id", extra="
 
 
 def _folded(spark, sf, cols=BASE):
-    train = train_rows(spark, sf, cols)
+    train = materialize(train_rows(spark, sf, cols))
     return train.join(folds.make_folds(train), "ID")
 
 
@@ -163,12 +163,16 @@ def within_fold(spark, sf):
 
 
 def _variant(spark, sf, name, **options):
+    return _variants(spark, sf, [name], **options)[name]
+
+
+def _variants(spark, sf, names, **options):
     cols = ["ID", "Target", "amount_usd", "annual_rate_pct", "monthly_income_usd", "term_months",
             "product_code", "province", "employment_sector", "collateral_type"]
     train = materialize(train_rows(spark, sf, cols))
     test = test_rows(spark, sf, [c for c in cols if c != "Target"])
-    return build_all_variants(train, test, folds.make_folds(train), [name],
-                              engineer=BaseFeatureEngineer(ranks=False), **options)[name]
+    return build_all_variants(train, test, folds.make_folds(train), names,
+                              engineer=BaseFeatureEngineer(ranks=False), **options)
 
 
 @query("d09_one_hot_variant")
@@ -219,8 +223,7 @@ def full_fit_variant(spark, sf):
 @query("d12_all_variants")
 def all_variants(spark, sf):
     out = None
-    for name in ("v1_ohe", "v2_ordinal", "v3_target_woe"):
-        train, test = _variant(spark, sf, name)
+    for name, (train, test) in _variants(spark, sf, ["v1_ohe", "v2_ordinal", "v3_target_woe"]).items():
         for part, df in (("train", train), ("test", test)):
             one = df.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("ID").alias("n_ids")).select(
                 F.lit(name).alias("variant"), F.lit(part).alias("part"),

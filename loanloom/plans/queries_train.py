@@ -25,7 +25,7 @@ RAW = ["ID", "Target", "amount_usd", "annual_rate_pct", "term_months", "monthly_
 
 def _tables(spark, sf, cols=RAW):
     """Base features of train (with folds) and test, written once."""
-    train = train_rows(spark, sf, cols)
+    train = materialize(train_rows(spark, sf, cols))
     test = test_rows(spark, sf, [c for c in cols if c != "Target"])
     eng = BaseFeatureEngineer(ranks=False).fit(train)
     tr = materialize(eng.transform(train).join(make_folds(train), ID_COL))
@@ -34,7 +34,7 @@ def _tables(spark, sf, cols=RAW):
 
 def _holdout_metrics(name, params):
     def run(spark, sf):
-        train = train_rows(spark, sf, ["ID", "Target", *NUMERIC_COLS])
+        train = materialize(train_rows(spark, sf, ["ID", "Target", *NUMERIC_COLS]))
         eng = BaseFeatureEngineer(ranks=False, categorical_cols=["none"]).fit(train)
         rows = eng.impute(train).join(holdout_split(train), ID_COL)
         rows = materialize(training.assemble(rows, NUMERIC_COLS, (ID_COL, TARGET_COL, "is_holdout")))
@@ -65,7 +65,7 @@ def feature_matrix(spark, sf):
 
 @query("i02_baseline")
 def baseline(spark, sf):
-    train = train_rows(spark, sf, ["ID", "Target", *NUMERIC_COLS])
+    train = materialize(train_rows(spark, sf, ["ID", "Target", *NUMERIC_COLS]))
     test = test_rows(spark, sf, ["ID", *NUMERIC_COLS])
     _, scores = training.baseline(train, test, NUMERIC_COLS, medians(train, NUMERIC_COLS),
                                   holdout_split(train))

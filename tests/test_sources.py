@@ -94,8 +94,8 @@ def test_submission_is_in_template_order(spark, raw, scores, tmp_path):
     assert list(rows[0]) == ["ID", "Target"]
     run = spark.read.json(str(tmp_path / "runs")).first()
     assert (run["tag"], run["file"], run["rows"]) == ("a", "sub_a", 50)
-    many = submission.write_submissions({"b": scores, "c": scores}, template, str(tmp_path), single_file=True)
-    assert len(many) == 2 and len(glob.glob(f"{many[0]}/part-*.csv")) == 1
+    many = submission.write_submissions({"b": scores, "c": scores}, template, str(tmp_path))
+    assert len(many) == 2
     summary = {r["file"]: r for r in readers.submission_summaries(spark, f"{tmp_path}/sub_*").collect()}
     assert set(summary) == {"sub_a", "sub_b", "sub_c"} and summary["sub_a"]["rows"] == 50
 
