@@ -144,10 +144,16 @@ def assemble(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (ID_COL,
     return out.select(*kept, FEATURES)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """At least one partition per core; a table that is already split is left alone."""
+def training_table(df: DataFrame) -> DataFrame:
+    """``df`` as a written table with at least one partition per core.
+
+    Tables that are already split well are written once and left alone.
+    """
+    table = materialize(df)
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    if table.rdd.getNumPartitions() >= cores:
+        return table
+    return materialize(table.repartition(cores))
 
 
 def sparse_one_hot(cat_cols: Sequence[str], output: str = FEATURES) -> Pipeline:
@@ -264,13 +270,13 @@ def cv_train(
     probe = encode(train, ks[0]) if encode else train
     cols = list(features or numeric_columns(probe, id_col, label))
     keep = (id_col, label, "fold_id")
-    fixed = None if encode else materialize(spread(assemble(train, cols, keep)))
+    fixed = None if encode else training_table(assemble(train, cols, keep))
     test_rows = None
     if test is not None:
         test_rows = assemble(encode_test(test) if encode_test else test, cols, (id_col,))
 
     def one_fold(k: int) -> tuple[PipelineModel, DataFrame]:
-        rows = fixed if fixed is not None else materialize(spread(assemble(encode(train, k), cols, keep)))
+        rows = fixed if fixed is not None else training_table(assemble(encode(train, k), cols, keep))
         spec = build_model(name, params, len(cols))
         model = fit_model(spec, rows.where(F.col("fold_id") != k), early_stop, id_col)
         return model, score(model, rows.where(F.col("fold_id") == k), [id_col, label, "fold_id"])
