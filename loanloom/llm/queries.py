@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loanloom.llm import exact_dedup, jaccard_join
+from loanloom.llm import exact_dedup, jaccard_join, language_id
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -26,6 +26,11 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@_query("op2_language_id")
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    return language_id.identify(_table(spark, sf, "documents"))
+
+
 @_query("op5_exact_dedup", """
     SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
            max(doc_id) OVER w = doc_id AS kept, sha256(coalesce(text, '')) AS text_sha256
