@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loanloom.llm import exact_dedup, jaccard_join, language_id
+from loanloom.llm import exact_dedup, jaccard_join, language_id, mixing, segmentation
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -42,3 +42,13 @@ def op5(spark: SparkSession, sf: str) -> DataFrame:
 @_query("op10_jaccard_join")
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard_join.jaccard_components(_table(spark, sf, "documents"))
+
+
+@_query("op8_mixing")
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.report(_table(spark, sf, "documents"))
+
+
+@_query("op9_segmentation")
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    return segmentation.digest(segmentation.encode(_table(spark, sf, "documents")))
