@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loanloom.llm import exact_dedup, jaccard_join, language_id, mixing, segmentation
+from loanloom.llm import ann, exact_dedup, jaccard_join, language_id, mixing, segmentation
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -31,6 +31,22 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
     return language_id.identify(_table(spark, sf, "documents"))
 
 
+@_query("op3_nearest", """
+    WITH v AS (
+        SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+          AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+          AND len(list_filter(embedding, lambda e: e <> 0)) > 0),
+    pairs AS (
+        SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.x, c.x) AS score
+        FROM v q, v c WHERE q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.x) = len(c.x))
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+           vec_id, score
+    FROM pairs QUALIFY rank <= 20""")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    return ann.nearest(_table(spark, sf, "embeddings"))
+
+
 @_query("op5_exact_dedup", """
     SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
            max(doc_id) OVER w = doc_id AS kept, sha256(coalesce(text, '')) AS text_sha256
