@@ -9,6 +9,7 @@ import pyarrow as pa
 
 #: Texts are handled in slices of about this many bytes; one longer text makes a slice of its own.
 SLICE_BYTES = 2 << 20
+SLICE_ROWS = 16_384
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -55,7 +56,7 @@ def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[in
     lo = 0
     while lo < n:
         hi = int(np.searchsorted(offs, offs[lo] + limit, "right")) - 1
-        hi = min(max(hi, lo + 1), n)
+        hi = min(max(hi, lo + 1), n, lo + SLICE_ROWS)
         yield lo, hi, offs[lo:hi + 1] - offs[lo], raw[offs[lo]:offs[hi]]
         lo = hi
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loanloom.llm import ann, exact_dedup, jaccard_join, language_id, mixing, segmentation
+from loanloom.llm import ann, exact_dedup, jaccard_join, language_id, line_dedup, lm_score, mixing, segmentation, suffix_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -26,6 +27,12 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@_query("op1_suffix_dedup")
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    found = suffix_dedup.suffix_dedup(_table(spark, sf, "documents"), keep_text=False)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @_query("op2_language_id")
 def op2(spark: SparkSession, sf: str) -> DataFrame:
     return language_id.identify(_table(spark, sf, "documents"))
@@ -47,6 +54,11 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
     return ann.nearest(_table(spark, sf, "embeddings"))
 
 
+@_query("op4_lm_score")
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    return lm_score.score_documents(_table(spark, sf, "documents"))
+
+
 @_query("op5_exact_dedup", """
     SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
            max(doc_id) OVER w = doc_id AS kept, sha256(coalesce(text, '')) AS text_sha256
@@ -55,6 +67,18 @@ def op5(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf, "documents"))
 
 
+@_query("op6_line_dedup")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    found = line_dedup.line_dedup(_table(spark, sf, "documents"))
+    return found.select("doc_id", "n_lines", "n_chunks", "n_removed_chunks", "n_removed_lines",
+                        F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@_query("op7_toxicity")
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.classify(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
 @_query("op10_jaccard_join")
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard_join.jaccard_components(_table(spark, sf, "documents"))
