@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanloom.llm.tables import attach, materialize, partitions, texts
+from loanloom.llm.tables import attach, fresh, materialize, partitions, texts
 
 #: Fingerprints that a task gathers before it hands its filters on.
 FILTER_ROWS = 500_000
@@ -115,7 +115,8 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that ``exact_dedup`` keeps, with their own columns."""
     _, groups = _groups(docs)
-    named = groups.select(F.col("sha").alias("_sha"), F.col("keep_id").alias("_keep"), F.lit(True).alias("_twice"))
+    key, keep = fresh(docs, "_sha"), fresh(docs, "_keep")
+    named = materialize(groups.select(F.col("sha").alias(key), F.struct("keep_id").alias(keep)))
     sha = F.unhex(F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256))
-    found = attach(docs.withColumn("_sha", sha), named, "_sha")
-    return found.where(F.col("_twice").isNull() | F.col("_keep").eqNullSafe(F.col("doc_id"))).select(*docs.columns)
+    found = attach(docs.withColumn(key, sha), named, key)
+    return found.where(F.col(keep).isNull() | F.col(keep)["keep_id"].eqNullSafe(F.col("doc_id"))).select(*docs.columns)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanloom.llm.bytewise import text_slices
-from loanloom.llm.tables import crc_mod, texts
+from loanloom.llm.tables import crc_mod, fresh, texts
 
 #: Bytes in a run.
 STEPS = 64
@@ -285,22 +285,22 @@ def keep_identified(docs: DataFrame, least: float = 0.3, params: Params | None =
     model = train(docs.where(~F.coalesce(held_out(), F.lit(True))), params)
     if model.net is None:
         return docs.limit(0)
-    own = docs.select(*docs.columns)
-    names = own.columns
+    names = docs.columns
+    text_, letters_ = fresh(docs, "_text"), fresh(docs, "_letters")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = _score(model)
         for batch in batches:
-            text = batch.column(batch.schema.names.index("_text"))
+            text = batch.column(batch.schema.names.index(text_))
             slim = pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(text))), text, batch.column(batch.schema.names.index("_letters"))],
+                [pa.array(np.arange(len(text))), text, batch.column(batch.schema.names.index(letters_))],
                 ["doc_id", "text", "letters"])
             best = [b.column(3).to_numpy(zero_copy_only=False) for b in score([slim])]
             ok = (np.concatenate(best) >= least) if best else np.zeros(0, bool)
             kept = batch.filter(pa.array(ok)).filter(batch.filter(pa.array(ok)).column(
-                batch.schema.names.index("_letters")))
+                batch.schema.names.index(letters_)))
             yield kept.select(names)
 
     plain = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    ready = own.withColumns({"_text": plain, "_letters": plain.rlike(r"\p{L}")})
-    return ready.mapInArrow(run, own.schema)
+    ready = docs.withColumns({text_: plain, letters_: plain.rlike(r"\p{L}")})
+    return ready.mapInArrow(run, docs.schema)

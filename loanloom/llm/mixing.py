@@ -19,7 +19,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanloom.llm.tables import materialize
+from loanloom.llm.tables import fresh, materialize
 from loanloom.operators.joins import lookup
 
 #: Documents that a slice of a leaf's order is sized for.
@@ -152,9 +152,10 @@ def mix(docs: DataFrame, plan: MixPlan | None = None) -> tuple[DataFrame, DataFr
 def mixed_documents(docs: DataFrame, plan: MixPlan | None = None) -> DataFrame:
     """The columns of ``docs``, a row as often as it is drawn. Rows that share a doc_id are drawn alike."""
     drawn, _ = mix(docs, plan)
-    kept = drawn.groupBy("doc_id").agg(F.max("copies").alias("copies")).where("copies > 0")
-    back = docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"])).drop(kept["doc_id"])
-    return back.withColumn("_again", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    times, again, key = fresh(docs, "_times"), fresh(docs, "_again"), fresh(docs, "_id")
+    kept = drawn.groupBy(F.col("doc_id").alias(key)).agg(F.max("copies").alias(times)).where(F.col(times) > 0)
+    back = docs.join(kept, F.col("doc_id").eqNullSafe(F.col(key)))
+    return back.withColumn(again, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns)
 
 
 def report(docs: DataFrame, plan: MixPlan | None = None) -> DataFrame:

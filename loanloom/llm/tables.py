@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from loanloom.operators.joins import BROADCAST_ROWS, hot_key_lookup
 from loanloom.session import materialize
 
-__all__ = ["attach", "crc_mod", "materialize", "partitions", "texts"]
+__all__ = ["attach", "crc_mod", "fresh", "drop_ids", "materialize", "partitions", "texts"]
 
 
 def texts(docs: DataFrame, *columns: str) -> DataFrame:
@@ -18,6 +18,14 @@ def texts(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *columns)
 
 
+def fresh(docs: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``docs`` has it."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def crc_mod(column: str, n: int):
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(n))
 
@@ -37,3 +45,10 @@ def attach(rows: DataFrame, table: DataFrame, on: str, limit: int = BROADCAST_RO
         return rows.join(F.broadcast(table), on, "left")
     weights = rows.groupBy(on).agg(F.count(F.lit(1)).alias("_w"))
     return hot_key_lookup(rows, materialize(table.join(weights, on)), [on], "_w")
+
+
+def drop_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose doc_id is in ``ids`` (doc_id, distinct)."""
+    flag = fresh(docs, "_gone")
+    gone = materialize(ids.select("doc_id", F.lit(True).alias(flag)))
+    return attach(docs, gone, "doc_id").where(F.col(flag).isNull()).select(*docs.columns)
