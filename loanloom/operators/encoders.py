@@ -39,7 +39,7 @@ def apply_maps(
     stats: CategoryStats,
     maps: DataFrame,
     outputs: Mapping[str, Mapping[str, str]],
-    defaults: Mapping[str, float],
+    defaults: Mapping[str, float | Column],
     by_fold: str | None = None,
     limit: int | None = None,
     weight: str = "n",
@@ -238,7 +238,7 @@ class FoldEncoder:
         self.stats = stats or CategoryStats.fit(df, self.cat_cols, label, fold)
         return self
 
-    def _encode(self, df: DataFrame, counts: DataFrame, prior: float,
+    def _encode(self, df: DataFrame, counts: DataFrame, prior: float | Column,
                 by_fold: str | None = None, weight: str = "n") -> DataFrame:
         if self.stats is None:
             raise RuntimeError("Call fit() first.")
@@ -268,4 +268,8 @@ class FoldEncoder:
 
     def transform_train(self, df: DataFrame, fold: str = "fold_id") -> DataFrame:
         """Training rows, each with the statistics of the other folds."""
-        return self._encode(df, self.stats.complements(), self.stats.rate, fold, "own_n")
+        s = self.stats
+        # a category seen in no other fold gets the other folds' rate, as in transform_for_fold
+        pairs = [F.lit(x) for k in s.folds for x in (k, (s.pos - s.fold_pos[k]) / (s.n - s.fold_n[k]))]
+        prior = F.create_map(*pairs)[F.col(fold).cast("int")]
+        return self._encode(df, s.complements(), prior, fold, "own_n")

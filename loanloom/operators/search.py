@@ -18,7 +18,8 @@ def unit_values(names: Sequence[str], n_trials: int, seed: int = 42) -> list[dic
 
 
 # Search ranges as (kind, low, high), (kind, choices), or a
-# condition on another parameter as the last item.
+# condition on another parameter as the last item. Parameters that Spark's
+# learners have no counterpart for are left out.
 SEARCH_SPACES: dict[str, dict[str, tuple]] = {
     "lgbm": {
         "n_estimators": ("int", 100, 2000),
@@ -27,8 +28,6 @@ SEARCH_SPACES: dict[str, dict[str, tuple]] = {
         "min_child_samples": ("int", 5, 100),
         "subsample": ("float", 0.5, 1.0),
         "colsample_bytree": ("float", 0.5, 1.0),
-        "reg_alpha": ("log", 1e-8, 10.0),
-        "reg_lambda": ("log", 1e-8, 10.0),
     },
     "xgb": {
         "n_estimators": ("int", 100, 2000),
@@ -36,14 +35,11 @@ SEARCH_SPACES: dict[str, dict[str, tuple]] = {
         "learning_rate": ("log", 1e-4, 0.3),
         "subsample": ("float", 0.5, 1.0),
         "colsample_bytree": ("float", 0.5, 1.0),
-        "reg_alpha": ("log", 1e-8, 10.0),
-        "reg_lambda": ("log", 1e-8, 10.0),
     },
     "catboost": {
         "iterations": ("int", 100, 2000),
         "depth": ("int", 3, 10),
         "learning_rate": ("log", 1e-4, 0.3),
-        "l2_leaf_reg": ("log", 1e-8, 10.0),
     },
     "lgbm_wide": {
         "num_leaves": ("int", 15, 127),
@@ -51,8 +47,6 @@ SEARCH_SPACES: dict[str, dict[str, tuple]] = {
         "min_child_samples": ("int", 5, 100),
         "subsample": ("float", 0.5, 1.0),
         "colsample_bytree": ("float", 0.3, 1.0),
-        "reg_alpha": ("log", 1e-8, 10.0),
-        "reg_lambda": ("log", 1e-8, 10.0),
         "min_split_gain": ("float", 0.0, 1.0),
         "max_depth": ("int", -1, 12),
     },
@@ -62,21 +56,13 @@ SEARCH_SPACES: dict[str, dict[str, tuple]] = {
         "min_child_weight": ("int", 1, 50),
         "subsample": ("float", 0.5, 1.0),
         "colsample_bytree": ("float", 0.3, 1.0),
-        "reg_alpha": ("log", 1e-8, 10.0),
-        "reg_lambda": ("log", 1e-8, 10.0),
         "gamma": ("float", 0.0, 5.0),
     },
     "catboost_deep": {
         "depth": ("int", 4, 10),
         "learning_rate": ("log", 0.01, 0.1),
-        "l2_leaf_reg": ("float", 1.0, 30.0),
-        "random_strength": ("log", 0.1, 10.0),
-        "bagging_temperature": ("float", 0.0, 3.0),
         "border_count": ("int", 32, 255),
         "min_data_in_leaf": ("int", 1, 100),
-        "one_hot_max_size": ("int", 2, 25),
-        "grow_policy": ("choice", ["SymmetricTree", "Lossguide"]),
-        "max_leaves": ("int", 16, 64, ("grow_policy", "Lossguide")),
     },
 }
 # End of fixed values.

@@ -7,8 +7,10 @@ tables keyed by ID. Only fitted constants and per-fold metrics reach the driver.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import time
+import warnings
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
@@ -56,6 +58,15 @@ MODEL_DEFAULTS: dict[str, dict[str, Any]] = {
 }
 # End of fixed values.
 
+# Settings each kind of model reads, and settings of other libraries that Spark's learners have no counterpart for.
+_TREE = {"n_estimators", "max_depth", "num_leaves", "max_leaves", "min_child_samples", "max_bins", "seed"}
+_READ = {"lr": {"C", "max_iter"}, "rf": _TREE, "extra_trees": _TREE, "mlp": {"hidden_dims", "max_iter", "seed"}}
+_BOOST = _TREE | {"learning_rate", "subsample", "colsample_bytree", "gamma", "border_count", "patience"}
+NO_COUNTERPART = {"reg_alpha", "reg_lambda", "l2_leaf_reg", "random_strength", "bagging_temperature",
+                  "one_hot_max_size", "grow_policy"}
+# Models that stop early when asked, and after how many trees without gain.
+EARLY = {"lgbm": 200, "lgbm_diverse": 200, "catboost": 200}
+
 _ALIASES = {"iterations": "n_estimators", "depth": "max_depth", "lr": "learning_rate",
             "min_data_in_leaf": "min_child_samples", "min_child_weight": "min_child_samples",
             "min_samples_leaf": "min_child_samples", "min_split_gain": "gamma", "random_state": "seed"}
@@ -71,6 +82,7 @@ class ModelSpec:
     scaled: bool = False
     stops_early: bool = False
     params: dict[str, Any] = field(default_factory=dict)
+    ignored: list[str] = field(default_factory=list)
 
 
 def _depth(p: dict[str, Any]) -> int:
@@ -82,17 +94,28 @@ def _depth(p: dict[str, Any]) -> int:
 
 
 def build_model(name: str, params: dict[str, Any] | None = None, n_features: int | None = None) -> ModelSpec:
-    """Estimator for a model name; unknown names are a ``ValueError``."""
+    """Estimator for a model name; unknown names and settings are a ``ValueError``.
+
+    Settings without a counterpart in Spark are reported by a warning and listed in ``ignored``.
+    """
     if name not in MODEL_DEFAULTS:
         raise ValueError(f"Unknown model '{name}'. Available: {sorted(MODEL_DEFAULTS)}")
     p = {**MODEL_DEFAULTS[name],
          **{_ALIASES.get(k, k): v for k, v in (params or {}).items()}}
+    ignored = sorted(NO_COUNTERPART & set(p))
+    if "max_leaves" in p and p.get("max_depth", 0) > 0:
+        ignored.append("max_leaves")
+    unknown = set(p) - _READ.get(name, _BOOST) - NO_COUNTERPART
+    if unknown:
+        raise ValueError(f"'{name}' has no settings {sorted(unknown)}")
+    if ignored:
+        warnings.warn(f"'{name}' has no counterpart for {ignored}; they are ignored", stacklevel=2)
     common = dict(featuresCol=FEATURES, labelCol=TARGET_COL)
     if name == "lr":
         # regParam is set from the weight sum when the rows are known
         est = LogisticRegression(maxIter=int(p["max_iter"]), elasticNetParam=0.0, tol=1e-7,
                                  standardization=False, weightCol=WEIGHT, **common)
-        return ModelSpec(name, est, params=p)
+        return ModelSpec(name, est, params=p, ignored=ignored)
     if name in ("rf", "extra_trees"):
         # Spark has no random split points; extra trees are approximated by
         # coarse bins, all rows per tree and another seed
@@ -101,12 +124,12 @@ def build_model(name: str, params: dict[str, Any] | None = None, n_features: int
             minInstancesPerNode=int(p.get("min_child_samples", 1)), weightCol=WEIGHT,
             featureSubsetStrategy="sqrt", bootstrap=name == "rf",
             maxBins=int(p.get("max_bins", 64 if name == "rf" else 8)), **common)
-        return ModelSpec(name, est, params=p)
+        return ModelSpec(name, est, params=p, ignored=ignored)
     if name == "mlp":
         layers = [n_features or 1, *[int(h) for h in p["hidden_dims"]], 2]
         est = MultilayerPerceptronClassifier(layers=layers, maxIter=int(p["max_iter"]),
                                              seed=int(p["seed"]), **common)
-        return ModelSpec(name, est, balanced=False, scaled=True, params=p)
+        return ModelSpec(name, est, balanced=False, scaled=True, params=p, ignored=ignored)
     est = GBTClassifier(
         maxIter=int(p["n_estimators"]), maxDepth=_depth(p), stepSize=float(p["learning_rate"]),
         subsamplingRate=float(p.get("subsample", 1.0)), minInfoGain=float(p.get("gamma", 0.0)),
@@ -114,7 +137,7 @@ def build_model(name: str, params: dict[str, Any] | None = None, n_features: int
         featureSubsetStrategy=str(float(p["colsample_bytree"])) if p.get("colsample_bytree", 1.0) < 1.0 else "all",
         maxBins=int(p.get("border_count", p.get("max_bins", 64))), seed=int(p["seed"]),
         weightCol=WEIGHT, **common)
-    return ModelSpec(name, est, stops_early=True, params=p)
+    return ModelSpec(name, est, stops_early=name in EARLY, params=p, ignored=ignored)
 
 
 def class_weights(df: DataFrame, label: str = TARGET_COL, kind: str = "balanced") -> Column:
@@ -156,6 +179,20 @@ def training_table(df: DataFrame) -> DataFrame:
     return materialize(table.repartition(cores))
 
 
+@dataclass
+class Assembled:
+    """A written training table and the columns its vectors are made of; shared by seeds, models and trials."""
+
+    rows: DataFrame
+    cols: list[str]
+
+
+def assemble_once(train: DataFrame, features: Sequence[str] | None = None, id_col: str = ID_COL,
+                  label: str = TARGET_COL) -> Assembled:
+    cols = list(features or numeric_columns(train, id_col, label))
+    return Assembled(training_table(assemble(train, cols, (id_col, label, "fold_id"))), cols)
+
+
 def sparse_one_hot(cat_cols: Sequence[str], output: str = FEATURES) -> Pipeline:
     """Indexed and one-hot encoded categories as one sparse vector; unseen is its own slot."""
     idx = [f"_{c}_index" for c in cat_cols]
@@ -176,6 +213,32 @@ def _stop_flag(id_col: str = ID_COL, share: int = 10) -> Column:
     return F.conv(F.substring(seeded_md5(id_col, "stop"), 1, 6), 16, 10).cast("long") % share == 0
 
 
+def best_prefix(losses: Sequence[float], patience: int) -> int:
+    """Number of trees with the least loss before ``patience`` trees in a row have brought no gain."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def stop_early(spec: ModelSpec, weighted: DataFrame, id_col: str = ID_COL) -> tuple[Any, DataFrame]:
+    """The estimator cut to the best number of trees, and the rows it learns from.
+
+    All trees are fitted without the stop rows, the loss of every prefix on the
+    stop rows is found in one pass, and the best prefix is what is fitted.
+    """
+    flagged = weighted.withColumn(STOP, _stop_flag(id_col))
+    rows, held = flagged.where(~F.col(STOP)).drop(STOP), flagged.where(F.col(STOP)).drop(STOP)
+    if held.isEmpty():
+        return spec.estimator, weighted
+    losses = spec.estimator.fit(rows).evaluateEachIteration(held)
+    trees = best_prefix(losses, int(spec.params.get("patience", EARLY[spec.name])))
+    return spec.estimator.copy().setMaxIter(trees), rows
+
+
 def fit_model(spec: ModelSpec, rows: DataFrame, early_stop: bool = False, id_col: str = ID_COL,
               weight_kind: str = "balanced") -> PipelineModel:
     """Fit on assembled rows; one pass for the class counts, then the learner's own passes."""
@@ -187,8 +250,7 @@ def fit_model(spec: ModelSpec, rows: DataFrame, early_stop: bool = False, id_col
         total = weighted.agg(F.sum(WEIGHT)).first()[0]
         est = est.copy().setRegParam(1.0 / (float(spec.params["C"]) * total))
     if spec.stops_early and early_stop:
-        weighted = weighted.withColumn(STOP, _stop_flag(id_col))
-        est = est.copy().setValidationIndicatorCol(STOP)
+        est, weighted = stop_early(spec, weighted, id_col)
     stages = [est]
     if spec.scaled:
         scaler = StandardScaler(inputCol=FEATURES, outputCol="_scaled", withMean=True)
@@ -247,7 +309,7 @@ def _tagged(df: DataFrame, model: str, variant: str) -> DataFrame:
 def cv_train(
     name: str,
     params: dict[str, Any] | None,
-    train: DataFrame,
+    train: DataFrame | Assembled,
     test: DataFrame | None = None,
     variant: str = "v2_ordinal",
     features: Sequence[str] | None = None,
@@ -260,17 +322,22 @@ def cv_train(
 ) -> CvResult:
     """Fit once per fold on the other folds, score the fold; test = mean over folds.
 
-    ``train`` carries ID, target and ``fold_id``. With ``encode`` the training
+    ``train`` carries ID, target and ``fold_id``, or is assembled already. With ``encode`` the training
     and held-out rows of fold k are encoded as ``encode(train, k)``, which may
     only use other folds; ``encode_test`` encodes the test rows once. Up to
     ``parallelism`` folds are fitted at the same time.
     """
     start = time.perf_counter()
-    ks = [r[0] for r in train.select("fold_id").distinct().orderBy("fold_id").collect()]
-    probe = encode(train, ks[0]) if encode else train
-    cols = list(features or numeric_columns(probe, id_col, label))
+    ready = train if isinstance(train, Assembled) else None
+    rows_in = ready.rows if ready else train
+    ks = [r[0] for r in rows_in.select("fold_id").distinct().orderBy("fold_id").collect()]
     keep = (id_col, label, "fold_id")
-    fixed = None if encode else training_table(assemble(train, cols, keep))
+    if encode:
+        cols = list(features or numeric_columns(encode(train, ks[0]), id_col, label))
+        fixed = None
+    else:
+        ready = ready or assemble_once(train, features, id_col, label)
+        cols, fixed = ready.cols, ready.rows
     test_rows = None
     if test is not None:
         test_rows = assemble(encode_test(test) if encode_test else test, cols, (id_col,))
@@ -282,7 +349,7 @@ def cv_train(
         return model, score(model, rows.where(F.col("fold_id") == k), [id_col, label, "fold_id"])
 
     # the fits are independent Spark jobs; the threads only submit them
-    task = inheritable_thread_target(train.sparkSession)(one_fold)
+    task = inheritable_thread_target(rows_in.sparkSession)(one_fold)
     with ThreadPool(max(1, min(parallelism, len(ks)))) as pool:
         done = pool.map(task, ks)
     models, parts = [m for m, _ in done], [p for _, p in done]
@@ -306,8 +373,10 @@ def cv_train_encoded(name: str, params: dict[str, Any] | None, train: DataFrame,
 
 def train_models(entries: Sequence[tuple[str, str, dict[str, Any]]],
                  variants: dict[str, tuple[DataFrame, DataFrame]], **options) -> list[CvResult]:
-    """Every (model, variant, params) whose variant exists, best mean AUC first."""
-    done = [cv_train(name, params, *variants[v], variant=v, **options)
+    """Every (model, variant, params) whose variant exists, best mean AUC first; a variant is assembled once."""
+    used = dict.fromkeys(v for _, v, _ in entries if v in variants)
+    ready = {v: assemble_once(variants[v][0]) for v in used}
+    done = [cv_train(name, params, ready[v], variants[v][1], variant=v, **options)
             for name, v, params in entries if v in variants]
     return sorted(done, key=lambda r: (-r.mean_auc, r.model))
 
@@ -315,7 +384,9 @@ def train_models(entries: Sequence[tuple[str, str, dict[str, Any]]],
 def multi_seed(name: str, params: dict[str, Any], train: DataFrame, test: DataFrame,
                seeds: Sequence[int], **options) -> tuple[DataFrame, DataFrame, list[CvResult]]:
     """Mean out-of-fold and test scores over seeds, and the single-seed results, best first."""
-    runs = [cv_train(name, {**params, "seed": s}, train, test, variant=f"seed{s}", **options)
+    ready = train if options.get("encode") or isinstance(train, Assembled) else assemble_once(
+        train, options.pop("features", None))
+    runs = [cv_train(name, {**params, "seed": s}, ready, test, variant=f"seed{s}", **options)
             for s in seeds]
     oof, scored = runs[0].oof, runs[0].test
     for r in runs[1:]:
@@ -385,7 +456,8 @@ def adversarial_validation(train: DataFrame, test: DataFrame, n_cv: int = 5, lim
                            params: dict[str, Any] | None = None, id_col: str = ID_COL) -> DataFrame:
     """(mean_auc, std_auc, shifted): can a model tell train rows from test rows?"""
     both = origin_frame(train, test, id_col).withColumnRenamed("_is_test", TARGET_COL)
-    both = materialize(both)
+    # an ID may stand in both tables
+    both = materialize(both.withColumn(id_col, F.concat_ws(":", TARGET_COL, id_col)))
     rows = both.join(make_folds(both, n_cv, id_col=id_col), id_col)
     settings = {"n_estimators": 100, "learning_rate": 0.1, "num_leaves": 31, **(params or {})}
     result = cv_train("lgbm", settings, rows, variant="origin", id_col=id_col)
@@ -395,33 +467,49 @@ def adversarial_validation(train: DataFrame, test: DataFrame, n_cv: int = 5, lim
 
 _TRIALS = T.StructType([
     T.StructField("trial", T.IntegerType()), T.StructField("params", T.StringType()),
-    T.StructField("mean_auc", T.DoubleType()), T.StructField("fold_aucs", T.ArrayType(T.DoubleType()))])
+    T.StructField("mean_auc", T.DoubleType()), T.StructField("fold_aucs", T.ArrayType(T.DoubleType())),
+    T.StructField("key", T.StringType())])
+
+
+def _fingerprint(rows: DataFrame) -> str:
+    """Row count and an order-free hash of all columns."""
+    h = F.xxhash64(*[F.col(f"`{c}`").cast("string") if k.startswith("map") else F.col(f"`{c}`") for c, k in rows.dtypes])
+    got = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.pmod(h, F.lit(1 << 40))).alias("h")).first()
+    return f"{got.n}:{got.h}"
 
 
 def tune_model(name: str, train: DataFrame, n_trials: int = 50, seed: int = 42,
                trials_path: str | None = None, space: str | dict | None = None,
-               fixed: dict[str, Any] | None = None) -> tuple[dict[str, Any], DataFrame]:
-    """Best parameters of a seeded random search and the trial table.
+               fixed: dict[str, Any] | None = None, variant: str = "tuning") -> tuple[dict[str, Any], DataFrame]:
+    """Best parameters of a seeded random search and its trial table.
 
-    Finished trials in ``trials_path`` are not run again, so a search resumes.
+    Finished trials in ``trials_path`` are not run again, so a search resumes. A
+    trial is known by a key of model, variant, parameters and the training
+    rows with their folds; other searches may use the same path.
     """
     spark = train.sparkSession
-    candidates = suggest(space or name, n_trials, seed)
-    done: dict[int, float] = {}
+    candidates = [{**p, **(fixed or {})} for p in suggest(space or name, n_trials, seed)]
+    picked = suggest(space or name, n_trials, seed)
+    data = _fingerprint(train) if trials_path else ""
+    keys = [hashlib.sha256(json.dumps([name, variant, p, data], sort_keys=True).encode()).hexdigest() for p in candidates]
+    done: set[str] = set()
     if trials_path and path_exists(spark, trials_path):
-        done = {r["trial"]: r["mean_auc"] for r in spark.read.parquet(trials_path).collect()}
-    rows = []
+        done = {r["key"] for r in spark.read.schema(_TRIALS).parquet(trials_path).where(
+            F.col("key").isin(keys)).select("key").collect()}
+    ready, rows = None, []
     for i, params in enumerate(candidates):
-        if i in done:
+        if keys[i] in done:
             continue
-        result = cv_train(name, {**params, **(fixed or {})}, train, variant="tuning")
-        row = (i, json.dumps(params, sort_keys=True), result.mean_auc, result.fold_aucs)
+        done.add(keys[i])
+        ready = ready or assemble_once(train)
+        result = cv_train(name, params, ready, variant=variant)
+        row = (i, json.dumps(picked[i], sort_keys=True), result.mean_auc, result.fold_aucs, keys[i])
         if trials_path:
             spark.createDataFrame([row], _TRIALS).write.mode("append").parquet(trials_path)
         rows.append(row)
     table = (spark.read.schema(_TRIALS).parquet(trials_path) if trials_path
-             else spark.createDataFrame(rows, _TRIALS))
-    best = table.where(F.col("trial") < n_trials).orderBy(F.desc("mean_auc"), "trial").first()
+             else spark.createDataFrame(rows, _TRIALS)).where(F.col("key").isin(keys))
+    best = table.orderBy(F.desc("mean_auc"), "trial").first()
     return json.loads(best["params"]), table
 
 

@@ -20,42 +20,61 @@ def spark():
     s.stop()
 
 
+# Category values of the data dictionary, in its order.
+FREQUENCIES = ["Monthly", "Bi-Weekly", "Weekly"]
+PURPOSES = ["Working_Capital", "Stock_Purchase", "Equipment", "School_Fees", "Medical", "Home_Improvement", "Vehicle",
+            "Farming_Inputs"]
+GENDERS = ["Male", "Female"]
+MARITAL = ["Married", "Single", "Divorced", "Widowed"]
+SECTORS = ["Agriculture", "Mining", "Manufacturing", "Retail_Trade", "Government", "Education", "Healthcare"]
+COLLATERAL = ["None", "Vehicle", "Property", "Livestock", "Savings", "Guarantor"]
+CHANNELS = ["EcoCash", "Bank_Transfer", "Cash", "InnBucks", "OneMoney"]
+PROVINCES = ["Harare", "Bulawayo", "Manicaland", "Mashonaland_West", "Mashonaland_East", "Mashonaland_Central"]
+# End of fixed values.
+
+N_TRAIN, N_TEST = 200, 50
+#: Values that the edge cases ask for: band limits, zero rates, incomes below one, ties.
+RATES = [0.0, 0.1, 15.0, 15.1, 40.0, 72.5, 100.0, 150.0, 210.0, None]
+INCOMES = [0.0, 0.5, 120.0, 350.0, 350.0, 900.0, 2600.0, None]
+
+
 def loan_row(i: int, test: bool = False) -> dict:
-    """One loan from formulas of the row number."""
+    """Loan number ``i``: each field walks through its values at its own stride, so that combinations vary."""
     import datetime as dt
 
-    h = (i * 2654435761) % 2**32
-    day = dt.date(2025, 1, 1) + dt.timedelta(days=i)
-    gone = lambda step, off: i % step == off
-    provinces = ["Harare", "Bulawayo", "Manicaland", "Midlands", "Masvingo"]
-    sectors = ["Education", "Health", "Mining", "Retail", "Farming", "Informal"]
+    def pick(values, stride):
+        return values[(i * stride + i // len(values)) % len(values)]
+
+    start = dt.date(2024, 12, 20) + dt.timedelta(days=(i * 11) % 400)
+    paid_out = start + dt.timedelta(days=i % 10)
+    term = [1, 2, 6, 9, 12, 15, 24, 36, 48][i % 9]
     row = dict(
-        ID=("TT" if test else "TR") + f"{i:05d}",
-        product_code=h % 6,
-        date_approved=day,
-        date_disbursed=day + dt.timedelta(days=1 + h % 14),
-        first_payment_due=day + dt.timedelta(days=1 + h % 14 + 20 + h % 20),
-        maturity_date=day + dt.timedelta(days=1 + h % 14 + 180 + h % 550),
-        amount_usd=50.0 + (h % 49950),
-        annual_rate_pct=None if gone(20, 3) else 8.0 + (h >> 5) % 192,
-        term_months=[3, 6, 12, 18, 24, 36, 48][h % 7],
-        payment_frequency=["Monthly", "Weekly", "Bi-Weekly"][(h >> 3) % 3],
-        loan_purpose=None if i == 5 else ["Stock", "School", "Medical", "Home", "Crops"][(h >> 4) % 5],
-        client_gender=["Male", "Female"][(h >> 7) % 2],
-        client_dob=dt.date(1970, 1, 1) + dt.timedelta(days=30 * i),
-        marital_status=None if i == 10 else ["Single", "Married", "Widowed", "Divorced"][(h >> 9) % 4],
-        num_dependents=None if gone(20, 7) else float((h >> 2) % 9),
-        employment_sector=sectors[(h >> 6) % 6],
-        months_at_employer=None if gone(20, 11) else float(1 + (h >> 8) % 240),
-        monthly_income_usd=None if gone(12, 5) else 31.0 + (h >> 1) % 2769,
-        existing_obligations=(h >> 11) % 9,
-        collateral_type=None if i == 15 else
-        ["None", "Vehicle", "Property", "Livestock", "Savings", "Guarantor"][(h >> 12) % 6],
-        disbursement_channel=["EcoCash", "Cash", "Bank_Transfer", "InnBucks"][(h >> 13) % 4],
-        province=provinces[(h >> 10) % 5],
+        ID=f"{'TT' if test else 'TR'}{i:05d}",
+        product_code=(i * 5 + i // 6) % 6,
+        date_approved=start,
+        date_disbursed=paid_out,
+        first_payment_due=paid_out + dt.timedelta(days=25 + i % 11),
+        maturity_date=paid_out + dt.timedelta(days=30 * term),
+        amount_usd=75.0 + (i * 7919) % 60000,
+        annual_rate_pct=pick(RATES, 3),
+        term_months=term,
+        payment_frequency=pick(FREQUENCIES, 2),
+        loan_purpose=None if i % 41 == 40 else pick(PURPOSES, 3),
+        client_gender=pick(GENDERS, 1),
+        client_dob=dt.date(1961, 3, 1) + dt.timedelta(days=(i * 67) % 15000),
+        marital_status=None if i % 53 == 52 else pick(MARITAL, 3),
+        num_dependents=None if i % 17 == 16 else float((i * 4 + i // 9) % 9),
+        employment_sector=None if i % 37 == 36 else pick(SECTORS, 3),
+        months_at_employer=None if i % 23 == 22 else float(1 + (i * 29) % 240),
+        monthly_income_usd=pick(INCOMES, 3),
+        existing_obligations=(i * 2 + i // 9) % 9,
+        collateral_type=None if i % 29 == 28 else pick(COLLATERAL, 5),
+        disbursement_channel=pick(CHANNELS, 3),
+        province=pick(PROVINCES, 5),
     )
     if not test:
-        row["Target"] = 1 if (h >> 15) % 100 < 15 + 20 * (row["province"] in ("Harare", "Midlands")) else 0
+        risky = (row["province"] in PROVINCES[:2]) + (row["existing_obligations"] > 5)
+        row["Target"] = int((i * 37 + i // 7) % 100 < 12 + 18 * risky)
     return row
 
 
@@ -63,8 +82,8 @@ def loan_row(i: int, test: bool = False) -> dict:
 def loan_pdfs():
     import pandas as pd
 
-    train = pd.DataFrame([loan_row(i) for i in range(200)])
-    test = pd.DataFrame([loan_row(i, True) for i in range(50)])
+    train = pd.DataFrame([loan_row(i) for i in range(N_TRAIN)])
+    test = pd.DataFrame([loan_row(i, True) for i in range(N_TEST)])
     return train, test
 
 
@@ -82,12 +101,12 @@ def to_spark(spark, rows):
 
 @pytest.fixture(scope="session")
 def train(spark):
-    return to_spark(spark, [loan_row(i) for i in range(200)]).persist()
+    return to_spark(spark, [loan_row(i) for i in range(N_TRAIN)]).persist()
 
 
 @pytest.fixture(scope="session")
 def test_set(spark):
-    return to_spark(spark, [loan_row(i, True) for i in range(50)]).persist()
+    return to_spark(spark, [loan_row(i, True) for i in range(N_TEST)]).persist()
 
 
 @pytest.fixture(scope="session")

@@ -38,3 +38,11 @@ def test_apply_dtypes_skips_absent_columns(spark):
     out = cleaning.apply_dtypes(df, ["date_approved", "client_dob"], ["product_code"], ["amount_usd"])
     assert dict(out.dtypes) == {"date_approved": "date", "product_code": "string", "other": "string"}
     assert out.select(F.col("product_code")).first()[0] == "3"
+
+
+def test_free_form_dates_and_tokens(spark):
+    texts = ["1 Feb 2025", "1 February 2025", "Feb 1, 2025", "2025-02-01T10:20:30", "1/2/2025 10:20"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert {r[0] for r in df.select(cleaning.parse_date("t")).collect()} == {dt.date(2025, 2, 1)}
+    odd = spark.createDataFrame([(t,) for t in ("#NA", "1.#QNAN", "-nan", "None")], "t string")
+    assert [r[0] for r in odd.select(cleaning.null_tokens("t")).collect()] == [None, None, None, "None"]

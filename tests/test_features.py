@@ -27,7 +27,7 @@ def test_transform_matches_pandas(train, loan_pdfs):
     pd.testing.assert_series_equal(got["rate_bucket"], want, check_names=False)
     ranks = pd.Series(income).groupby(pdf["province"]).rank(pct=True)
     pd.testing.assert_series_equal(got["income_rank_in_province"], ranks, check_names=False)
-    assert got["collateral_type_was_missing"].sum() == 1
+    assert got["collateral_type_was_missing"].sum() == pdf["collateral_type"].isna().sum() > 0
     age = (pd.to_datetime(pdf["date_approved"]) - pd.to_datetime(pdf["client_dob"])).dt.days / 365.25
     pd.testing.assert_series_equal(got["client_age_at_approval"], age, check_names=False)
     assert not np.isnan(got["employer_stability"]).any()
@@ -81,7 +81,7 @@ def test_extra_features_and_native_frame(train, test_set):
     assert {"province_freq", "is_urban", "months_to_repay", "mfi_no_collateral"} <= set(te.columns)
     assert tr.where("is_urban = 1").count() == tr.where("province in ('Harare', 'Bulawayo')").count()
     native = fx.native_categories(train, ["loan_purpose"])
-    assert native.where(F.col("loan_purpose") == "__NA__").count() == 1
+    assert native.where(F.col("loan_purpose") == "__NA__").count() == train.where("loan_purpose is null").count() > 0
     assert native.where("annual_rate_pct is null").count() == 0
 
 

@@ -44,6 +44,37 @@ def test_train_csv(spark, raw, train):
     assert none_as_null.where("collateral_type = 'None'").count() == 0
 
 
+def test_columns_are_matched_by_name(spark, tmp_path):
+    """Files of one folder may name their columns in different order, not different columns."""
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("ID,amount_usd,term_months,Target\nA1,900,24,0\n")
+    (tmp_path / "in" / "b.csv").write_text("Target,ID,term_months,amount_usd\n1,B1,12,450.5\n0,B2,6,75\n")
+    got = {r["ID"]: (r["amount_usd"], r["term_months"], r["Target"]) for r in
+           readers.load_train(spark, str(tmp_path / "in")).collect()}
+    assert got == {"A1": (900.0, 24, 0), "B1": (450.5, 12, 1), "B2": (75.0, 6, 0)}
+    order = readers.load_template(spark, str(tmp_path / "in")).orderBy("template_pos").collect()
+    assert [r["ID"] for r in order] == ["A1", "B1", "B2"]
+    summary = readers.submission_summaries(spark, str(tmp_path / "in")).first()
+    assert (summary["rows"], summary["max"]) == (3, 1.0)
+    (tmp_path / "in" / "c.csv").write_text("ID,amount_usd,Target\nC1,1,0\n")
+    with pytest.raises(ValueError, match="term_months"):
+        readers.load_train(spark, str(tmp_path / "in"))
+
+
+def test_stored_folds_must_fit(spark, train, tmp_path):
+    path = str(tmp_path / "folds")
+    first = sinks.folds_table(train, path, 5, 42)
+    again = sinks.folds_table(train, path, 5, 42)
+    assert sorted(map(tuple, first.collect())) == sorted(map(tuple, again.collect())) and again.columns == first.columns
+    for n_folds, seed in ((10, 42), (5, 7)):
+        with pytest.raises(ValueError, match="force"):
+            sinks.folds_table(train, path, n_folds, seed)
+    grown = train.unionByName(train.withColumn("ID", F.concat(F.lit("X"), "ID")))
+    with pytest.raises(ValueError, match="force"):
+        sinks.folds_table(grown, path, 5, 42)
+    assert sinks.folds_table(grown, path, 5, 42, force=True).count() == 400
+
+
 def test_csv_errors(spark, raw):
     with pytest.raises(FileNotFoundError):
         readers.load_train(spark, f"{raw}/absent.csv")

@@ -42,6 +42,35 @@ def test_parameter_names_of_other_learners():
     assert training.build_model("lgbm", {"num_leaves": 31}).estimator.getMaxDepth() == 5
 
 
+def test_settings_are_never_swallowed():
+    with pytest.raises(ValueError, match="n_estimatorz"):
+        training.build_model("xgb", {"n_estimatorz": 5})
+    with pytest.warns(UserWarning, match="reg_alpha"):
+        assert training.build_model("lgbm", {"reg_alpha": 1.0}).ignored == ["reg_alpha"]
+
+
+def test_best_prefix():
+    assert training.best_prefix([5, 4, 3, 3.5, 2.9, 3, 3, 3, 2], 3) == 5
+    assert training.best_prefix([5, 4, 3, 3.5, 2.9, 3, 3, 3, 2], 4) == 9
+    assert training.best_prefix([1.0], 10) == 1
+
+
+def test_early_stopping_keeps_learning(spark):
+    """Small steps gain little each; they go on as long as the stop rows gain at all."""
+    rng = np.random.default_rng(1)
+    x = rng.standard_normal((1500, 3))
+    y = (rng.random(1500) < 1 / (1 + np.exp(-(2 * x[:, 0] - x[:, 1] * x[:, 2])))).astype(int)
+    rows = [(str(i), int(t), *map(float, v)) for i, (v, t) in enumerate(zip(x, y))]
+    df = spark.createDataFrame(rows, "ID string, Target int, a double, b double, c double")
+    table = training.assemble(df, ["a", "b", "c"])
+    params = {"n_estimators": 25, "max_depth": 3, "learning_rate": 0.1}
+    stopped = training.fit_model(training.build_model("lgbm", params), table, early_stop=True).stages[-1]
+    assert 10 < stopped.getNumTrees <= 25
+    assert training.fit_model(training.build_model("xgb", params), table, early_stop=True).stages[-1].getNumTrees == 25
+    short = training.build_model("catboost", {**params, "learning_rate": 1.0, "max_depth": 6, "patience": 2})
+    assert training.fit_model(short, table, early_stop=True).stages[-1].getNumTrees < 25
+
+
 def test_balanced_weights(train):
     w = train.withColumn("w", training.class_weights(train)).groupBy("Target").agg(F.sum("w").alias("s")).collect()
     assert w[0]["s"] == pytest.approx(w[1]["s"]) == pytest.approx(100.0)
@@ -110,14 +139,44 @@ def test_importances(base):
     assert set(drop) == set(cols)
 
 
-def test_search_resumes(base, tmp_path):
+def test_search_resumes_its_own_trials_only(base, tmp_path, monkeypatch):
     _, tr, _ = base
     path = str(tmp_path / "trials")
-    space = {"max_depth": ("int", 2, 3)}
+    space = {"max_depth": ("int", 2, 3), "learning_rate": ("float", 0.1, 0.3)}
     small = tr.select("ID", "Target", "fold_id", "amount_usd", "annual_rate_pct")
-    training.tune_model("xgb", small, 1, trials_path=path, space=space, fixed={"n_estimators": 2})
-    best, table = training.tune_model("xgb", small, 2, trials_path=path, space=space, fixed={"n_estimators": 2})
+    runs_ = []
+    real = training.cv_train
+    monkeypatch.setattr(training, "cv_train", lambda *a, **k: (runs_.append(a[1]), real(*a, **k))[1])
+    search = lambda n, rows=small, seed=42, space=space, variant="a": training.tune_model(
+        "xgb", rows, n, seed=seed, trials_path=path, space=space, fixed={"n_estimators": 2}, variant=variant)
+    search(1)
+    best, table = search(2)
     assert sorted(r["trial"] for r in table.collect()) == [0, 1] and 2 <= best["max_depth"] <= 3
+    before = len(runs_)
+    search(2)
+    assert len(runs_) == before
+    for other in (dict(rows=small.where("ID <> 'TR00003'")), dict(variant="b"), dict(space={"max_depth": ("int", 4, 5)})):
+        before = len(runs_)
+        best, table = search(1, **other)
+        assert len(runs_) == before + 1 and table.count() == 1
+    assert best["max_depth"] in (4, 5)
+
+
+def test_training_table_is_written_once(base, monkeypatch):
+    _, tr, te = base
+    written = []
+    real = training.training_table
+    monkeypatch.setattr(training, "training_table", lambda df: (written.append(1), real(df))[1])
+    small = tr.select("ID", "Target", "fold_id", "amount_usd", "annual_rate_pct")
+    training.multi_seed("catboost", {**TREES, "n_estimators": 2}, small, te, [0, 1, 2])
+    assert len(written) == 1
+    training.tune_model("xgb", small, 3, space={"max_depth": ("int", 2, 9)}, fixed={"n_estimators": 1})
+    assert len(written) == 2
+
+
+def test_drift_check_keeps_shared_ids_apart(train):
+    row = training.adversarial_validation(train, train.drop("Target"), 2, params=TREES).first()
+    assert row["mean_auc"] < 0.6 and not row["shifted"]
 
 
 def test_drift_check_sees_a_shift(train, test_set):
