@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanloom.llm.tables import attach, materialize
+from loanloom.llm.tables import attach, materialize, partitions
 
 #: Nodes that a task keeps while it contracts its own edges; it then starts anew.
 LOCAL_NODES = 300_000
@@ -50,7 +50,14 @@ def components(edges: DataFrame) -> DataFrame:
     its own, names the groups by it, and keeps the edges between groups; hashes
     make the number of groups fall geometrically on chains, too.
     """
-    e = materialize(edges.select("a", "b").mapInArrow(_contract, "a long, b long"))
+    n = partitions(edges.sparkSession)
+
+    def contracted(rows: DataFrame) -> DataFrame:
+        """Stars within tasks, then once more with all edges of a node in one task; stars name a node once a task."""
+        stars = rows.mapInArrow(_contract, "a long, b long")
+        return materialize(stars.repartition(n, "a").mapInArrow(_contract, "a long, b long"))
+
+    e = contracted(edges.select("a", "b"))
     maps: list[DataFrame] = []
     while not e.isEmpty():
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -62,7 +69,7 @@ def components(edges: DataFrame) -> DataFrame:
         named = lambda rows, c: attach(
             rows, best.select(F.col("node").alias(c), F.col("label").alias(f"l{c}")), c)
         groups = named(named(e, "a"), "b").select(F.col("la").alias("a"), F.col("lb").alias("b"))
-        e = materialize(groups.where("a <> b").distinct().mapInArrow(_contract, "a long, b long"))
+        e = contracted(groups.where("a <> b"))
     if not maps:
         return edges.select(F.col("a").alias("node"), F.col("a").alias("component")).limit(0)
     found = maps[0]

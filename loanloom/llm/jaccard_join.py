@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from loanloom.llm.bytewise import shingle_sets, text_slices
 from loanloom.llm.graph import components
-from loanloom.llm.tables import attach, materialize, partitions, texts
+from loanloom.llm.tables import attach, drop_ids, materialize, partitions, texts
 
 #: log2 of the cells that count shingles; the table of their classes is broadcast (one byte a cell).
 CELL_BITS = 20
@@ -133,8 +133,8 @@ class _Lists:
     def __init__(self, num: int, den: int, labelled: bool):
         self.num, self.den, self.labelled = num, den, labelled
 
-    def _join(self, tok, doc, size, pos, sketch, label) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Index pairs (i, j), i before j, that no bound rules out."""
+    def _join(self, tok, doc, size, pos, sketch, label) -> Iterator[tuple[np.ndarray, ...]]:
+        """Index pairs (i, j), i before j, that no bound rules out, and their sketch distances."""
         n = len(tok)
         last = np.searchsorted(tok, tok, "right")            # end of the own list
         length = last - np.searchsorted(tok, tok, "left")
@@ -155,7 +155,7 @@ class _Lists:
             i2, j2, need = at[ok], j[ok], need[ok]
             apart = _POP[sketch[i2] ^ sketch[j2]].sum(axis=1, dtype=np.int64)
             fit = apart <= size[i2] + size[j2] - 2 * need
-            yield i2[fit], j2[fit]
+            yield i2[fit], j2[fit], apart[fit]
             # in a long list the first pass stops at an entry's nearest plausible partner
             done = i2[fit][near[i2[fit]]]
             if len(done):
@@ -163,18 +163,18 @@ class _Lists:
 
     def _rows(self, tok, doc, size, pos, sketch, label) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
-        for i, j in self._join(tok, doc, size, pos, sketch, label):
-            new = {(min(p), max(p)) for p in zip(doc[i].tolist(), doc[j].tolist(), strict=True)} - seen
-            new = {p for p in new if p[0] != p[1]}
+        for i, j, apart in self._join(tok, doc, size, pos, sketch, label):
+            new = {(min(x, y), max(x, y), d) for x, y, d in zip(doc[i].tolist(), doc[j].tolist(), apart.tolist(),
+                                                                strict=True) if x != y} - seen
             if not new:
                 continue
-            if len(seen) < 200_000:  # the same pair meets in many lists; a later distinct() takes the rest
+            if len(seen) < 200_000:  # the same pair meets in many lists; a later grouping takes the rest
                 seen |= new
-            a, b = zip(*new, strict=True)
+            a, b, d = zip(*new, strict=True)
             none = len(a)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.nulls(none, pa.int64()),
-                 pa.nulls(none, pa.int32()), pa.nulls(none, pa.int32()), pa.nulls(none, pa.binary())], schema=PAIRS)
+                 pa.array(d, pa.int32()), pa.nulls(none, pa.int32()), pa.nulls(none, pa.binary())], schema=PAIRS)
         if not self.labelled:
             length = np.searchsorted(tok, tok, "right") - np.searchsorted(tok, tok, "left")
             k = np.flatnonzero(length > SHORT_LIST)
@@ -207,39 +207,40 @@ class _Lists:
             yield from self._rows(*(np.concatenate(x) for x in zip(*held, strict=True)))
 
 
-def _sets(width: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo, hi, offs, data in text_slices(batch.column(1)):
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0)[lo:hi],
-                    pa.array([s.tobytes() for s in shingle_sets(data, offs, width)], pa.binary())], ["doc_id", "s"])
-
-    return run
-
-
-def _verify(num: int, den: int):
+def _verify(width: int, num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ok = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(x) + len(y) - len(np.union1d(x, y))
-                ok.append(den * both >= num * (len(x) + len(y) - both))
+                both = b"".join((x.as_buffer(), y.as_buffer()))
+                one, two = shingle_sets(np.frombuffer(both, np.uint8),
+                                        np.array([0, len(x.as_buffer()), len(both)]), width)
+                shared = len(one) + len(two) - len(np.union1d(one, two))
+                ok.append(den * shared >= num * (len(one) + len(two) - shared))
             yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
     return run
 
 
 def _links(docs: DataFrame, pairs: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) that reach the threshold on the whole sets."""
+    """The pairs (a, b) that reach the threshold on the whole sets, which are made from the texts again.
+
+    Texts travel instead of sets: they take less than half the room.
+    """
     wanted = materialize(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
                          .withColumn("_in", F.lit(True)))
-    rows = attach(docs, wanted, "doc_id").where("_in").select("doc_id", "text")
-    sets = materialize(rows.mapInArrow(_sets(width), "doc_id long, s binary").dropDuplicates(["doc_id"]))
-    side = lambda c: sets.select(F.col("doc_id").alias(c), F.col("s").alias(f"s{c}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb")
-    return materialize(both.mapInArrow(_verify(num, den), "a long, b long"))
+    rows = attach(docs, wanted, "doc_id").where("_in")
+    side = lambda c: rows.select(F.col("doc_id").alias(c), F.col("text").alias(f"t{c}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ta", "tb")
+    return materialize(both.mapInArrow(_verify(width, num, den), "a long, b long"))
+
+
+def _nearest(pairs: DataFrame) -> DataFrame:
+    """Of the pairs (a, b, apart) those that are some node's closest."""
+    ends = pairs.select(F.col("a").alias("x"), F.col("b").alias("y"), "apart").unionByName(
+        pairs.select(F.col("b").alias("x"), F.col("a").alias("y"), "apart"))
+    best = ends.groupBy("x").agg(F.min(F.struct("apart", "y")).alias("m"))
+    return best.select(F.least("x", "m.y").alias("a"), F.greatest("x", "m.y").alias("b")).distinct()
 
 
 def jaccard_components(docs: DataFrame, width: int = 3, num: int = 90, den: int = 100) -> DataFrame:
@@ -258,7 +259,7 @@ def jaccard_components(docs: DataFrame, width: int = 3, num: int = 90, den: int
     ids = profile.where("kind = 0")
     runs = profile.where("kind = 1").select(F.col("n").alias("run"), "key")
     n_runs = (1 << CELL_BITS) // CELL_RUN
-    found = {r.run: r.classes for r in runs.repartition(n_runs, "run")
+    found = {r.run: r.classes for r in runs.repartition(partitions(spark), "run")
              .mapInArrow(_sum_runs, "run long, classes binary").collect()}
     blank = bytes(CELL_RUN)
     classes = spark.sparkContext.broadcast(b"".join(found.get(r, blank) for r in range(n_runs)))
@@ -269,8 +270,7 @@ def jaccard_components(docs: DataFrame, width: int = 3, num: int = 90, den: int
     first = materialize(
         entries.repartition(n, "tok").sortWithinPartitions("tok", "size", "doc_id").mapInArrow(
             _Lists(num, den, False), "a long, b long, tok long, size int, pos int, sketch binary"))
-    pairs = materialize(first.where("b is not null").select("a", "b").distinct())
-    links = _links(base, pairs, width, num, den)
+    pairs = first.where("b is not null").select("a", "b", F.col("size").alias("apart"))
 
     # sets that are equal are one node, the least doc_id
     same = ids.where("n > 0 and doc_id is not null").groupBy("n", "key").agg(
@@ -278,7 +278,8 @@ def jaccard_components(docs: DataFrame, width: int = 3, num: int = 90, den: int
     same = materialize(same.select(F.concat(F.col("key"), F.col("n").cast("string").cast("binary")).alias("k"), "rep"))
     keyed = ids.withColumn("k", F.concat(F.col("key"), F.col("n").cast("string").cast("binary")))
     rep = materialize(attach(keyed, same, "k").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("rep", "doc_id").alias("rep")))
+        "doc_id", F.col("n").alias("n_shingles"),
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("rep")))
     of = rep.where("doc_id is not null and rep <> doc_id").select("doc_id", "rep")
     of = materialize(of)
 
@@ -286,25 +287,38 @@ def jaccard_components(docs: DataFrame, width: int = 3, num: int = 90, den: int
         for c in ("a", "b"):
             names = of.select(F.col("doc_id").alias(c), F.col("rep").alias("_r"))
             rows = attach(rows, names, c).withColumn(c, F.coalesce("_r", c)).drop("_r")
-        return rows.where("a <> b").distinct()
-
-    edges = by_rep(links)
-    comp = materialize(components(edges))
-    # second pass over the long lists: partners in one component are answered already
-    long_ = first.where("b is null").select(F.col("a").alias("doc_id"), "tok", "size", "pos", "sketch")
-    labels = materialize(
-        attach(rep.where("doc_id is not null").select("doc_id", F.col("rep").alias("node")), comp, "node")
-        .where("component is not null or node <> doc_id")
-        .select("doc_id", F.coalesce("component", "node").alias("label")))
-    marked = attach(long_, labels, "doc_id").select(
-        "tok", "doc_id", "size", "pos", "sketch", F.coalesce("label", "doc_id").alias("label"))
-    more = materialize(
-        marked.repartition(n, "tok").sortWithinPartitions("tok", "size", "doc_id").mapInArrow(
-            _Lists(num, den, True), "a long, b long, tok long, size int, pos int, sketch binary")
-        .select("a", "b").distinct())
-    more = more.join(pairs, ["a", "b"], "left_anti")
-    edges = edges.unionByName(by_rep(_links(base, materialize(more), width, num, den)))
-    comp = materialize(components(edges))
+        return rows.where("a <> b").groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(
+            F.min("apart").alias("apart"))
+
+    def outside(rows: DataFrame, comp: DataFrame) -> DataFrame:
+        """The pairs whose ends are in different components."""
+        for c in ("a", "b"):
+            names = comp.select(F.col("node").alias(c), F.col("component").alias(f"l{c}"))
+            rows = attach(rows, names, c).withColumn(f"l{c}", F.coalesce(f"l{c}", c))
+        return rows.where("la <> lb").drop("la", "lb")
+
+    # answers of a set are those of the component it has joined: only pairs that lead out of it are verified,
+    # a round with the closest partner of each set, then all that are left
+    open_ = materialize(by_rep(pairs))
+    links = comp = tried = None
+    for last in (False, True):
+        if last:
+            # the long lists once more, with the components known
+            long_ = first.where("b is null").select(F.col("a").alias("doc_id"), "tok", "size", "pos", "sketch")
+            labels = attach(rep.where("doc_id is not null").select("doc_id", F.col("rep").alias("node")), comp, "node")
+            labels = materialize(labels.where("component is not null or node <> doc_id").select(
+                "doc_id", F.coalesce("component", "node").alias("label")))
+            marked = attach(long_, labels, "doc_id").select(
+                "tok", "doc_id", "size", "pos", "sketch", F.coalesce("label", "doc_id").alias("label"))
+            more = marked.repartition(n, "tok").sortWithinPartitions("tok", "size", "doc_id").mapInArrow(
+                _Lists(num, den, True), "a long, b long, tok long, size int, pos int, sketch binary")
+            more = by_rep(more.select("a", "b", F.col("size").alias("apart")))
+            open_ = outside(open_, comp).unionByName(more).groupBy("a", "b").agg(F.min("apart").alias("apart")).join(
+                tried, ["a", "b"], "left_anti")
+        picked = materialize((open_ if last else _nearest(open_)).select("a", "b"))
+        new = _links(base, picked, width, num, den)
+        links, tried = (new if links is None else links.unionByName(new)), picked
+        comp = materialize(components(links))
     found = attach(rep.withColumnRenamed("rep", "node"), comp, "node")
     return found.select("doc_id", "n_shingles", F.coalesce("component", "node").alias("component_id"))
 
@@ -312,5 +326,4 @@ def jaccard_components(docs: DataFrame, width: int = 3, num: int = 90, den: int
 def keep_one_of_component(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """The rows of ``docs`` whose doc_id names its component: one document of each group."""
     found = jaccard_components(docs, width, num, den)
-    gone = materialize(found.where("component_id <> doc_id").select("doc_id", F.lit(True).alias("_gone")).distinct())
-    return attach(docs, gone, "doc_id").where(F.col("_gone").isNull()).select(*docs.columns)
+    return drop_ids(docs, found.where("component_id <> doc_id").select("doc_id").distinct())
