@@ -38,6 +38,7 @@ class Params:
 
     hidden: int = 8
     passes: int = 16
+    least_steps: int = 600
     batch: int = 256
     rate: float = 0.02
     seed: int = 7
@@ -134,15 +135,18 @@ class ByteGRU:
         return loss, grad
 
     def fit(self, x: np.ndarray, y: np.ndarray, p: Params) -> ByteGRU:
-        """Adam over shuffled batches of runs x (runs, steps) with classes y."""
+        """Adam over shuffled batches of runs x (runs, steps) with classes y; small samples take smaller batches, more passes."""
         rng = np.random.default_rng(p.seed)
         first = {n: np.zeros_like(w) for n, w in self.w.items()}
         second = {n: np.zeros_like(w) for n, w in self.w.items()}
-        total, step = p.passes * -(-len(x) // p.batch), 0
-        for _ in range(p.passes):
+        batch = min(p.batch, max(32, len(x) // 16))
+        each = -(-len(x) // batch)
+        passes = max(p.passes, -(-p.least_steps // each)) if each else 0
+        total, step = passes * each, 0
+        for _ in range(passes):
             order = rng.permutation(len(x))
-            for at in range(0, len(x), p.batch):
-                rows = order[at:at + p.batch]
+            for at in range(0, len(x), batch):
+                rows = order[at:at + batch]
                 _, grad = self.gradients(np.ascontiguousarray(x[rows].T), y[rows])
                 step += 1
                 rate = p.rate * (1 - (step - 1) / total)

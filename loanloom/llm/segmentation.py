@@ -12,7 +12,7 @@ below a node carries the node's Gumbel value; at each choice on its way the
 branches not taken get the maximum of their leaves, a Gumbel variable of their
 mass truncated at that value. The next sample is below the branch set with the
 largest value, and so on. The value that would come next after the last sample
-gives each sample's inclusion probability. Random numbers depend on the row
+gives each sample's inclusion probability (its log). Random numbers depend on the row
 key, the place in the text and the round only.
 """
 
@@ -380,10 +380,11 @@ def _result(s: _Slice, d: _Drawn, kappa: np.ndarray) -> dict:
     for i in np.flatnonzero(same):
         lo = s.offs[d.texts[i]]
         same[i] = np.array_equal(decoded[own[i]:own[i + 1]], s.data[lo:lo + want[i]])
-    with np.errstate(over="ignore"):
-        inclusion = -np.expm1(-np.exp(np.minimum(d.log_p - kappa[d.texts], 700)))
+    # log of 1 - exp(-exp(x)); it is x where that is far below zero, as it is for long texts
+    x = np.minimum(d.log_p - kappa[d.texts], 30.0)
+    inclusion = np.where(x < -30, x, np.log(-np.expm1(-np.exp(np.maximum(x, -30)))))
     return {"text": d.texts, "ids": ids, "bounds": bounds, "log_p": d.log_p, "score": d.top,
-            "inclusion": inclusion, "lossless": same}
+            "log_inclusion": inclusion, "lossless": same}
 
 
 def decode_flat(p: Pieces, ids: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -403,13 +404,13 @@ def _encode(p: Pieces, k: int):
                     yield pa.RecordBatch.from_arrays([
                         batch.column(0)[lo:hi].take(pa.array(x["text"])), pa.array(np.full(len(x["text"]), r + 1, np.int32)),
                         pa.ListArray.from_arrays(pa.array(x["bounds"].astype(np.int32)), pa.array(x["ids"].astype(np.int32))),
-                        pa.array(x["log_p"]), pa.array(x["score"]), pa.array(x["inclusion"]), pa.array(x["lossless"])],
-                        ["doc_id", "sample", "ids", "log_prob", "perturbed", "inclusion", "lossless"])
+                        pa.array(x["log_p"]), pa.array(x["score"]), pa.array(x["log_inclusion"]), pa.array(x["lossless"])],
+                        ["doc_id", "sample", "ids", "log_prob", "perturbed", "log_inclusion", "lossless"])
 
     return run
 
 
-ENCODED = ("doc_id long, sample int, ids array<int>, log_prob double, perturbed double, inclusion double, "
+ENCODED = ("doc_id long, sample int, ids array<int>, log_prob double, perturbed double, log_inclusion double, "
            "lossless boolean")
 
 
@@ -443,5 +444,5 @@ def decode(encoded: DataFrame, path: str = MODEL) -> DataFrame:
 
 def digest(encoded: DataFrame) -> DataFrame:
     """What a query returns of each sample: sizes, scores and a hash of the ids."""
-    return encoded.select("doc_id", "sample", F.size("ids").alias("n_pieces"), "log_prob", "perturbed", "inclusion",
+    return encoded.select("doc_id", "sample", F.size("ids").alias("n_pieces"), "log_prob", "perturbed", "log_inclusion",
                           F.xxhash64("ids").alias("ids_hash"), "lossless")
