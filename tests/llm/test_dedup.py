@@ -91,7 +91,8 @@ def test_jaccard_chains_and_long_lists(spark, monkeypatch):
         rows.append((i, " ".join(w)))
     rows += [(100 + i, rows[i][1]) for i in range(0, 40, 5)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    for num in (70, 80, 90):
+    for num, rows_ in ((70, 1000), (80, 1000), (90, 1000), (80, 3)):
+        monkeypatch.setattr(jaccard_join, "LIST_ROWS", rows_)  # at 3, lists are dealt into blocks
         got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_components(docs, 3, num, 100).collect()}
         assert got == _components(_sets(rows, 3), num, 100)
 
@@ -134,6 +135,14 @@ def test_suffix_edges(spark):
     assert suffix_dedup.suffix_dedup(no_docs(spark)).count() == 0
 
 
+def test_suffix_hot_anchors(spark, monkeypatch):
+    """With every shared anchor hot, windows travel one by one; the result is the same."""
+    monkeypatch.setattr(suffix_dedup, "HOT_DOCS", 1)
+    got = {r.doc_id: r for r in suffix_dedup.suffix_dedup(edge_docs(spark)).collect() if r.doc_id is not None}
+    want = _suffix_brute([(r[0], r[1]) for r in edge_rows()])
+    assert {i: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for i, r in got.items()} == want
+
+
 def test_suffix_query(spark):
     got = {r.doc_id: tuple(r)[1:] for r in QUERIES["op1_suffix_dedup"](spark, SF).collect()}
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
