@@ -8,6 +8,8 @@ first. Two sets that reach the threshold share a shingle among their first
   cannot reach the threshold any more are skipped as a block. A parity sketch
   of 128 bits in each entry bounds the symmetric difference from below and
   skips what is left of unrelated partners. Both bounds are safe.
+  Lists of very frequent shingles are dealt into blocks by a hash of the
+  document; each pair of blocks is a list of its own, so no task gets them whole.
 * Answer level. First only the nearest plausible partner of each entry is
   verified. A set then takes over the component of the set it is similar to:
   in the second pass of the long lists all partners inside that component count
@@ -26,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanloom.llm.bytewise import shingle_sets, text_slices
+from loanloom.llm.bytewise import mix, shingle_sets, text_slices
 from loanloom.llm.graph import components
 from loanloom.llm.tables import attach, drop_ids, materialize, partitions, texts
 
@@ -36,6 +38,8 @@ CELL_BITS = 20
 CELL_RUN = 4096
 #: Lists of up to this many entries are joined at once; longer ones go through both passes.
 SHORT_LIST = 8
+#: Entries a list is meant to hold; longer ones are dealt into blocks, and every two blocks meet in a list of their own.
+LIST_ROWS = 1000
 _POP = np.array([bin(i).count("1") for i in range(1 << 16)], np.uint8)
 
 
@@ -78,29 +82,42 @@ def _profile(width: int):
 
 
 def _sum_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Partial counts -> per run of cells the classes floor(4 log2(count))."""
+    """Partial counts -> per run of cells the counts."""
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
         for r, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             c = np.frombuffer(b, np.uint32).astype(np.int64)
             sums[r] = sums[r] + c if r in sums else c
-    classes = {r: (4 * np.log2(np.maximum(c, 1))).astype(np.uint8).tobytes() for r, c in sums.items()}
     yield pa.RecordBatch.from_arrays(
-        [pa.array(list(classes), pa.int64()), pa.array(list(classes.values()), pa.binary())], ["run", "classes"])
+        [pa.array(list(sums), pa.int64()), pa.array([c.tobytes() for c in sums.values()], pa.binary())], ["run", "counts"])
+
+
+def _dealt(tok: np.ndarray, m: np.ndarray, doc: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """List keys, positions and sides of one document's entries, those of long lists once for each pair of blocks.
+
+    In the list of one block all pairs count (side -1), in that of two only pairs from different sides.
+    """
+    place = np.repeat(np.arange(len(tok)), m)
+    own = (mix(np.full(1, doc, np.int64).view(np.uint64))[0] % m.astype(np.uint64)).astype(np.int64)[place]
+    other = np.arange(len(place)) - np.repeat(np.cumsum(m) - m, m)
+    pair = np.minimum(own, other) * (1 << 20) + np.maximum(own, other)
+    split = m[place] > 1
+    key = np.where(split, tok[place] ^ mix(pair.astype(np.uint64) + np.uint64(1)), tok[place])
+    return key, place.astype(np.int32), np.where(split & (own != other), own, -1).astype(np.int32)
 
 
 def _postings(width: int, num: int, den: int, classes):
-    """Texts -> the prefix entries (tok, doc_id, size, pos, sketch) of one document per set and task."""
+    """Texts -> the prefix entries (tok, doc_id, size, pos, sketch, side) of one document per set and task."""
     schema = pa.schema([("tok", pa.int64()), ("doc_id", pa.int64()), ("size", pa.int32()), ("pos", pa.int32()),
-                        ("sketch", pa.binary())])
+                        ("sketch", pa.binary()), ("side", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.frombuffer(classes.value, np.uint8)
+        table, blocks = (np.frombuffer(x, t) for x, t in zip(classes.value, (np.uint8, np.int32), strict=True))
         seen: set[tuple[int, int, int]] = set()
         for batch in batches:
             ids = batch.column(0).to_pylist()
             for lo, _, offs, data in text_slices(batch.column(1)):
-                cols: list[list] = [[], [], [], [], []]
+                cols: list[list] = [[], [], [], [], [], []]
                 for i, s in enumerate(shingle_sets(data, offs, width)):
                     key = (len(s), int(s.sum(dtype=np.uint64)), int(np.bitwise_xor.reduce(s * s)) if len(s) else 0)
                     if not len(s) or ids[lo + i] is None or key in seen:
@@ -110,21 +127,27 @@ def _postings(width: int, num: int, den: int, classes):
                     keep = n - (-(-num * n // den)) + 1
                     rank = (table[(s >> np.uint64(64 - CELL_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(56))
                     head = np.argsort(rank | (s >> np.uint64(8)), kind="stable")[:keep]
-                    cols[0].append(s[head].view(np.int64))
-                    cols[1].append(np.full(keep, ids[lo + i], np.int64))
-                    cols[2].append(np.full(keep, n, np.int32))
-                    cols[3].append(np.arange(keep, dtype=np.int32))
-                    cols[4].extend([_sketch(s).tobytes()] * keep)
+                    tok, pos, side = s[head], np.arange(keep, dtype=np.int32), np.full(keep, -1, np.int32)
+                    m = blocks[(tok >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
+                    if (m > 1).any():
+                        tok, pos, side = _dealt(tok, m, ids[lo + i])
+                    cols[0].append(tok.view(np.int64))
+                    cols[1].append(np.full(len(tok), ids[lo + i], np.int64))
+                    cols[2].append(np.full(len(tok), n, np.int32))
+                    cols[3].append(pos)
+                    cols[4].extend([_sketch(s).tobytes()] * len(tok))
+                    cols[5].append(side)
                 if cols[0]:
                     yield pa.RecordBatch.from_arrays(
-                        [*(pa.array(np.concatenate(c)) for c in cols[:4]), pa.array(cols[4], pa.binary())],
-                        schema=schema)
+                        [*(pa.array(np.concatenate(c)) for c in cols[:4]), pa.array(cols[4], pa.binary()),
+                         pa.array(np.concatenate(cols[5]))], schema=schema)
 
     return run
 
 
 PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("tok", pa.int64()), ("size", pa.int32()),
-                   ("pos", pa.int32()), ("sketch", pa.binary())])
+                   ("pos", pa.int32()), ("sketch", pa.binary()), ("side", pa.int32())])
+PAIR_ROWS = "a long, b long, tok long, size int, pos int, sketch binary, side int"
 
 
 class _Lists:
@@ -133,7 +156,7 @@ class _Lists:
     def __init__(self, num: int, den: int, labelled: bool):
         self.num, self.den, self.labelled = num, den, labelled
 
-    def _join(self, tok, doc, size, pos, sketch, label) -> Iterator[tuple[np.ndarray, ...]]:
+    def _join(self, tok, doc, size, pos, sketch, side, label) -> Iterator[tuple[np.ndarray, ...]]:
         """Index pairs (i, j), i before j, that no bound rules out, and their sketch distances."""
         n = len(tok)
         last = np.searchsorted(tok, tok, "right")            # end of the own list
@@ -150,6 +173,7 @@ class _Lists:
             at, j = at[open_], j[open_]
             need = _required(self.num, self.den, size[at], size[j])
             ok = np.minimum(size[at] - pos[at], size[j] - pos[j]) >= need
+            ok &= (side[at] != side[j]) | (side[at] < 0)
             if self.labelled:
                 ok &= label[at] != label[j]
             i2, j2, need = at[ok], j[ok], need[ok]
@@ -161,9 +185,9 @@ class _Lists:
             if len(done):
                 at = at[~np.isin(at, done)]
 
-    def _rows(self, tok, doc, size, pos, sketch, label) -> Iterator[pa.RecordBatch]:
+    def _rows(self, tok, doc, size, pos, sketch, side, label) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
-        for i, j, apart in self._join(tok, doc, size, pos, sketch, label):
+        for i, j, apart in self._join(tok, doc, size, pos, sketch, side, label):
             new = {(min(x, y), max(x, y), d) for x, y, d in zip(doc[i].tolist(), doc[j].tolist(), apart.tolist(),
                                                                 strict=True) if x != y} - seen
             if not new:
@@ -174,15 +198,16 @@ class _Lists:
             none = len(a)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.nulls(none, pa.int64()),
-                 pa.array(d, pa.int32()), pa.nulls(none, pa.int32()), pa.nulls(none, pa.binary())], schema=PAIRS)
+                 pa.array(d, pa.int32()), pa.nulls(none, pa.int32()), pa.nulls(none, pa.binary()),
+                 pa.nulls(none, pa.int32())], schema=PAIRS)
         if not self.labelled:
             length = np.searchsorted(tok, tok, "right") - np.searchsorted(tok, tok, "left")
             k = np.flatnonzero(length > SHORT_LIST)
             if len(k):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(doc[k]), pa.nulls(len(k), pa.int64()), pa.array(tok[k]), pa.array(size[k], pa.int32()),
-                     pa.array(pos[k], pa.int32()), pa.array([x.tobytes() for x in sketch[k]], pa.binary())],
-                    schema=PAIRS)
+                     pa.array(pos[k], pa.int32()), pa.array([x.tobytes() for x in sketch[k]], pa.binary()),
+                     pa.array(side[k], pa.int32())], schema=PAIRS)
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -192,8 +217,8 @@ class _Lists:
             cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
             raw = b"".join(batch.column(4).to_pylist())
             part = (cols[0], cols[1], cols[2].astype(np.int64), cols[3].astype(np.int64),
-                    np.frombuffer(raw, np.uint16).reshape(-1, 8),
-                    batch.column(5).to_numpy() if self.labelled else cols[1])
+                    np.frombuffer(raw, np.uint16).reshape(-1, 8), batch.column(5).to_numpy(),
+                    batch.column(6).to_numpy() if self.labelled else cols[1])
             held.append(part)
             tok = part[0]
             if tok[0] == tok[-1] and len(held) > 1 and held[0][0][0] == tok[0]:
@@ -258,18 +283,22 @@ def jaccard_components(docs: DataFrame, width: int = 3, num: int = 90, den: int
     profile = materialize(base.mapInArrow(_profile(width), "kind int, doc_id long, n long, key binary"))
     ids = profile.where("kind = 0")
     runs = profile.where("kind = 1").select(F.col("n").alias("run"), "key")
-    n_runs = (1 << CELL_BITS) // CELL_RUN
-    found = {r.run: r.classes for r in runs.repartition(partitions(spark), "run")
-             .mapInArrow(_sum_runs, "run long, classes binary").collect()}
-    blank = bytes(CELL_RUN)
-    classes = spark.sparkContext.broadcast(b"".join(found.get(r, blank) for r in range(n_runs)))
+    counts = np.zeros(1 << CELL_BITS, np.int64)
+    for r in runs.repartition(partitions(spark), "run").mapInArrow(_sum_runs, "run long, counts binary").collect():
+        counts[r.run * CELL_RUN:(r.run + 1) * CELL_RUN] = np.frombuffer(bytes(r.counts), np.int64)
+    # what a cell has beyond the mean is taken for the length of one list
+    mean = counts.mean()
+    extra = counts - mean
+    blocks = np.where(extra > max(LIST_ROWS, mean / 8), np.ceil(extra / LIST_ROWS), 1).astype(np.int32)
+    classes = spark.sparkContext.broadcast(
+        ((4 * np.log2(np.maximum(counts, 1))).astype(np.uint8).tobytes(), blocks.tobytes()))
 
     entries = base.mapInArrow(_postings(width, num, den, classes),
-                              "tok long, doc_id long, size int, pos int, sketch binary")
+                              "tok long, doc_id long, size int, pos int, sketch binary, side int")
     n = partitions(spark, ids.count(), 20_000)
     first = materialize(
         entries.repartition(n, "tok").sortWithinPartitions("tok", "size", "doc_id").mapInArrow(
-            _Lists(num, den, False), "a long, b long, tok long, size int, pos int, sketch binary"))
+            _Lists(num, den, False), PAIR_ROWS))
     pairs = first.where("b is not null").select("a", "b", F.col("size").alias("apart"))
 
     # sets that are equal are one node, the least doc_id
@@ -304,14 +333,15 @@ def jaccard_components(docs: DataFrame, width: int = 3, num: int = 90, den: int
     for last in (False, True):
         if last:
             # the long lists once more, with the components known
-            long_ = first.where("b is null").select(F.col("a").alias("doc_id"), "tok", "size", "pos", "sketch")
+            long_ = first.where("b is null").select(F.col("a").alias("doc_id"), "tok", "size", "pos", "sketch",
+                                                   "side")
             labels = attach(rep.where("doc_id is not null").select("doc_id", F.col("rep").alias("node")), comp, "node")
             labels = materialize(labels.where("component is not null or node <> doc_id").select(
                 "doc_id", F.coalesce("component", "node").alias("label")))
             marked = attach(long_, labels, "doc_id").select(
-                "tok", "doc_id", "size", "pos", "sketch", F.coalesce("label", "doc_id").alias("label"))
+                "tok", "doc_id", "size", "pos", "sketch", "side", F.coalesce("label", "doc_id").alias("label"))
             more = marked.repartition(n, "tok").sortWithinPartitions("tok", "size", "doc_id").mapInArrow(
-                _Lists(num, den, True), "a long, b long, tok long, size int, pos int, sketch binary")
+                _Lists(num, den, True), PAIR_ROWS)
             more = by_rep(more.select("a", "b", F.col("size").alias("apart")))
             open_ = outside(open_, comp).unionByName(more).groupBy("a", "b").agg(F.min("apart").alias("apart")).join(
                 tried, ["a", "b"], "left_anti")
