@@ -234,9 +234,10 @@ def cardinality(spark, sf):
 @query("b13_prediction_summary", """
 SELECT model, round(avg(score), 8) AS mean, min(score) AS "min", max(score) AS "max",
   round(avg(case when score > 0.5 then 1.0::double else 0.0::double end), 9) AS share_above_half
-FROM longs WHERE model IN ('s1', 's2') GROUP BY model""")
+FROM longs GROUP BY model""")
 def prediction_summary(spark, sf):
-    long = scored_rows(spark, sf, ["s1", "s2"]).unpivot(["ID"], ["s1", "s2"], "model", "score")
+    models = ["s1", "s2", "s3", "s4"]
+    long = scored_rows(spark, sf, models).unpivot(["ID"], models, "model", "score")
     return profile.score_summary(long, "score", ["model"]).withColumns(
         {"mean": F.round("mean", 8), "share_above_half": F.round("share_above_half", 9)})
 

@@ -148,9 +148,9 @@ def evaluate(spark, sf):
 
 
 @query("h08_pr_curve", f"{_CURVE} SELECT model, score AS threshold, cast(tp as bigint) AS tp, cast(fp as bigint) AS fp,"
-       " round(p, 8) AS precision, round(r, 8) AS recall FROM curve WHERE model = 's1'")
+       " round(p, 8) AS precision, round(r, 8) AS recall FROM curve")
 def pr_curve(spark, sf):
-    got = metrics.curve_points(long_scores(spark, sf, ["s1"]), keys=["model"])
+    got = metrics.curve_points(long_scores(spark, sf), keys=["model"])
     return got.select("model", "threshold", "tp", "fp", F.round("precision", 8).alias("precision"),
                       F.round("recall", 8).alias("recall"))
 
@@ -165,9 +165,9 @@ def best_threshold(spark, sf):
 
 
 @query("h10_roc_curve", f"{_CURVE} SELECT model, score AS threshold, round(fp * 1.0::double / (all_n - all_pos), 8)"
-       " AS fpr, round(r, 8) AS tpr FROM curve WHERE model IN ('s2', 's3')")
+       " AS fpr, round(r, 8) AS tpr FROM curve")
 def roc_curve(spark, sf):
-    got = metrics.curve_points(long_scores(spark, sf, ["s2", "s3"]), keys=["model"])
+    got = metrics.curve_points(long_scores(spark, sf), keys=["model"])
     return got.select("model", "threshold", F.round("fpr", 8).alias("fpr"), F.round("tpr", 8).alias("tpr"))
 
 
@@ -262,11 +262,12 @@ def rank_average(spark, sf):
     return ensemble.rank_average(long_scores(spark, sf)).withColumn("score", F.round("score", 8))
 
 
-BLEND_TRIALS = 40
-BLEND_MODELS = ["s1", "s2", "s4"]
+BLEND_TRIALS = 200
+RANK_BLEND_TRIALS = 300
+BLEND_MODELS = MODELS
 
 
-def _weights_values(n=BLEND_TRIALS):
+def _weights_values(n):
     """Candidate weights as md5 expressions, the rule the search states."""
     unit = ("cast(cast('0x' || substr(md5('42:' || trial || ':w{i}'), 1, 7) as bigint) as double)"
             " / 268435456.0::double")
@@ -274,14 +275,15 @@ def _weights_values(n=BLEND_TRIALS):
     return f"wt AS (SELECT trial, {cols} FROM (SELECT cast(range as int) AS trial FROM range({n})))"
 
 
-def _blend_sql(source):
-    mix = " + ".join(f"{m} * (w{i} / (w0 + w1 + w2))" for i, m in enumerate(BLEND_MODELS))
-    return (f"{_weights_values()}, tr AS (SELECT trial, Target, {mix} AS score FROM {source}, wt),"
+def _blend_sql(source, n):
+    whole = " + ".join(f"w{i}" for i in range(len(BLEND_MODELS)))
+    mix = " + ".join(f"{m} * (w{i} / ({whole}))" for i, m in enumerate(BLEND_MODELS))
+    return (f"{_weights_values(n)}, tr AS (SELECT trial, Target, {mix} AS score FROM {source}, wt),"
             + _auc_sql("tr", ["trial"])
             + " SELECT trial, round(roc_auc, 7) AS roc_auc FROM aucs ORDER BY roc_auc DESC, trial LIMIT 1")
 
 
-@query("j03_weight_blend", _blend_sql("scored"))
+@query("j03_weight_blend", _blend_sql("scored", BLEND_TRIALS))
 def weight_blend(spark, sf):
     wide = materialize(scored_rows(spark, sf, BLEND_MODELS))
     _, table = ensemble.weight_search(wide, BLEND_MODELS, BLEND_TRIALS)
@@ -291,11 +293,11 @@ def weight_blend(spark, sf):
 
 @query("j04_rank_weight_blend", _RANKS + ", rw AS (SELECT ID, Target, "
        + ", ".join(f"max(case when model = '{m}' then pr end) AS {m}" for m in BLEND_MODELS)
-       + " FROM mr GROUP BY ID, Target)," + _blend_sql("rw"))
+       + " FROM mr GROUP BY ID, Target)," + _blend_sql("rw", RANK_BLEND_TRIALS))
 def rank_weight_blend(spark, sf):
     ranks = ensemble.model_ranks(long_scores(spark, sf, BLEND_MODELS))
     wide = materialize(ensemble.wide_scores(ranks, BLEND_MODELS, value="pct_rank"))
-    _, table = ensemble.weight_search(wide, BLEND_MODELS, BLEND_TRIALS)
+    _, table = ensemble.weight_search(wide, BLEND_MODELS, RANK_BLEND_TRIALS)
     return table.orderBy(F.desc("roc_auc"), "trial").limit(1).withColumn(
         "roc_auc", F.round("roc_auc", 7))
 

@@ -208,7 +208,7 @@ def selection(spark, sf):
     train, test = _wide(spark, sf)
     oof = train.unpivot([ID_COL, TARGET_COL, "fold_id"], MODELS, "model", "score")
     scored = test.unpivot([ID_COL], MODELS, "model", "score")
-    return stacking.select_ensemble(oof, scored, MODELS, n_trials=10)[3]
+    return stacking.select_ensemble(oof, scored, MODELS, n_trials=200)[3]
 
 
 @query("j10_platt_calibration")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from loanloom.operators import ensemble as en
 from loanloom.operators import metrics, search, stacking
 from loanloom.operators.folds import make_folds
+from loanloom.operators.training import build_model
 
 MODELS = ["m0", "m1", "m2"]
 
@@ -158,11 +159,15 @@ def test_search_spaces():
     assert a == search.suggest("lgbm", 20, 1) != search.suggest("lgbm", 20, 2)
     for p in a:
         assert 20 <= p["num_leaves"] <= 300 and 1e-4 <= p["learning_rate"] <= 0.3
-    deep = search.suggest("catboost_deep", 40)
+    deep = search.suggest({"grow_policy": ("choice", ["SymmetricTree", "Lossguide"]),
+                           "max_leaves": ("int", 16, 64, ("grow_policy", "Lossguide"))}, 40)
     assert {p["grow_policy"] for p in deep} == {"SymmetricTree", "Lossguide"}
     assert all(("max_leaves" in p) == (p["grow_policy"] == "Lossguide") for p in deep)
     with pytest.raises(ValueError):
         search.suggest("nope", 1)
+    # every parameter of a space is one that the model reads
+    for space in search.SEARCH_SPACES:
+        build_model(space.split("_")[0], search.suggest(space, 1)[0])
 
 
 def test_units_follow_the_stated_rule(spark):
