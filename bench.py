@@ -14,6 +14,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from loanloom.operators import metrics  # noqa: E402
 from loanloom.plans.registry import ORACLE, QUERIES  # noqa: E402
 from loanloom.session import local_session  # noqa: E402
 
@@ -56,12 +57,14 @@ def main() -> None:
             QUERIES[q](spark, sf).write.format("noop").mode("overwrite").save()
             seconds[q] = round(time.perf_counter() - start, 3)
         print(f"{q} {seconds[q]}", file=sys.stderr)
+    folds = metrics.roc_auc(QUERIES["i10_cv_train"](spark, sf), "Target", "score", ["fold_id"]).collect()
+    auc = round(sum(r["roc_auc"] for r in folds) / len(folds), 5)
     spark.stop()
     print(json.dumps({
         "metric": "headline_queries_total", "value": round(sum(seconds.values()), 3), "unit": "sec",
         "queries": seconds, "sf": os.path.basename(sf.rstrip("/")),
         "loan_rows_per_sec": {q: int(rows / s) for q, s in seconds.items()},
-        "single_node_sql_sec": _sql_seconds(sf, cpus)}))
+        "i10_mean_auc": auc, "single_node_sql_sec": _sql_seconds(sf, cpus)}))
 
 
 if __name__ == "__main__":

@@ -7,18 +7,31 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A lookup table of at most this many rows is broadcast.
+# A lookup table of at most this many rows and bytes of text is broadcast; text is
+# only measured where there are more than MEASURED_ROWS rows.
 BROADCAST_ROWS = 200_000
-# A key is hot when it holds at least 1/HOT_PARTS of the weight, so there are
-# never more than HOT_PARTS hot keys and broadcasting them is always safe.
+BROADCAST_BYTES = 64 << 20
+MEASURED_ROWS = 10_000
+# A key is hot when it holds at least 1/HOT_PARTS of the weight, or more rows than a
+# task should get; never more than BROADCAST_ROWS keys are hot, so broadcasting them is safe.
 HOT_PARTS = 1000
+HOT_ROWS = 5_000_000
 SPREAD = 1 << 16
 
 
+def text_bytes(table: DataFrame) -> int:
+    """Bytes of all text and binary values."""
+    wide = [c for c, kind in table.dtypes if kind in ("string", "binary")]
+    if not wide:
+        return 0
+    size = sum((F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)).cast("long") for c in wide), F.lit(0).cast("long"))
+    return table.agg(F.sum(size)).first()[0] or 0
+
+
 def lookup(rows: DataFrame, table: DataFrame, on: Sequence[str], n_rows: int,
            weight: str, limit: int = BROADCAST_ROWS, total: int | None = None) -> DataFrame:
     """Left lookup in a table with unique keys and at most ``n_rows`` rows."""
-    if n_rows <= limit:
+    if n_rows <= limit and (n_rows <= MEASURED_ROWS or text_bytes(table) <= BROADCAST_BYTES):
         return rows.join(F.broadcast(table.drop(weight)), list(on), "left")
     return hot_key_lookup(rows, table, on, weight, total)
 
@@ -27,14 +40,15 @@ def hot_key_lookup(rows: DataFrame, table: DataFrame, on: Sequence[str], weight:
                    total: int | None = None) -> DataFrame:
     """Left lookup in a table of any size, ``weight`` = matching rows per key.
 
-    Hot keys are answered by a broadcast of at most ``HOT_PARTS`` rows. Their
+    Hot keys are answered by a broadcast. Their
     rows, and rows with a null key, then carry a salt that matches nothing, so
     the shuffle of the other lookup spreads them over all tasks.
     """
     on = list(on)
     payload = [c for c in table.columns if c not in on and c != weight]
     whole = table.agg(F.sum(weight)).scalar() if total is None else F.lit(total)
-    is_hot = F.col(weight) * F.lit(HOT_PARTS) >= whole
+    share = whole.cast("double")
+    is_hot = F.col(weight) >= F.greatest(F.least(share / HOT_PARTS, F.lit(float(HOT_ROWS))), share / BROADCAST_ROWS)
     hot = table.where(is_hot).select(*on, F.struct(*payload).alias("_hot"))
     cold = table.where(~is_hot).select(
         *on, F.lit(0).alias("_salt"), F.struct(*payload).alias("_cold"))

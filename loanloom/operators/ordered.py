@@ -51,8 +51,15 @@ def _with_bucket(df: DataFrame, value: str, cuts: list) -> DataFrame:
     if not cuts:
         return df.withColumn("_bucket", F.lit(0))
     if isinstance(cuts[0], str):
-        at = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col(value)))
-        return df.withColumn("_bucket", at)
+        # binary search in the sorted cut points
+        n, edges = len(cuts), F.array(*[F.lit(c) for c in cuts])
+        jumps = F.array(*[F.lit(1 << b) for b in reversed(range(n.bit_length()))])
+
+        def step(at, jump):
+            fits = (at + jump <= n) & (F.element_at(edges, F.least(at + jump, F.lit(n))) <= F.col(value))
+            return F.when(fits, at + jump).otherwise(at)
+
+        return df.withColumn("_bucket", F.aggregate(jumps, F.lit(0), step))
     splits = [-math.inf, *[float(c) for c in cuts], math.inf]
     edges = df.withColumn("_edge", F.col(value).cast("double"))
     cutter = Bucketizer(splits=splits, inputCol="_edge", outputCol="_bucket", handleInvalid="keep")

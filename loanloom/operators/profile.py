@@ -8,9 +8,11 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loanloom.operators import joins
 from loanloom.operators.catstats import category_counts
 from loanloom.operators.ordered import exact_quantiles
 from loanloom.schema import TARGET_COL
+from loanloom.session import materialize
 
 
 def _tall(row: DataFrame, cols: Sequence[str], names: Sequence[str]) -> DataFrame:
@@ -97,13 +99,14 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 40, by: str | None
     value = (lambda c: F.log1p(c)) if log1p else (lambda c: F.col(c).cast("double"))
     long = df.select(*([by] if by else []), *[value(c).alias(c) for c in cols]).unpivot(
         [by] if by else [], cols, "column_name", "x").where("x is not null")
-    # one row per column and class
-    span = long.groupBy(*groups).agg(
-        F.min("x").alias("lo"), F.max("x").alias("hi"), F.count("x").alias("total"))
+    # one row per column and class; as many as classes, so the lookup checks its size
     width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
+    span = materialize(long.groupBy(*groups).agg(
+        F.min("x").alias("lo"), F.max("x").alias("hi"), F.count("x").alias("total")).withColumns(
+        {"w": width, "_weight": F.col("total")}))
     place = F.least(F.floor((F.col("x") - F.col("lo")) / F.nullif(F.col("w"), F.lit(0.0))),
                     F.lit(bins - 1))
-    binned = long.join(F.broadcast(span.withColumn("w", width)), groups).withColumn(
+    binned = joins.lookup(long, span, groups, span.count(), "_weight").where("lo is not null").withColumn(
         "bin", F.coalesce(place, F.lit(0)).cast("int"))
     counts = binned.groupBy(*groups, "bin").agg(
         F.count("x").alias("n"), F.max("lo").alias("lo"), F.max("w").alias("w"),

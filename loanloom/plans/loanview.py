@@ -70,15 +70,18 @@ SCORES = {
 }
 
 
-_SCHEMAS: dict[str, StructType] = {}
+_SCHEMAS: dict[tuple[str, int], StructType] = {}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A source table; its schema is read from the file once per process."""
+    """A source table; its schema is read from the file once, and again when the file has changed."""
     path = f"{sf_dir}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    status = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(hadoop)
+    key = (path, status.getModificationTime())
+    if key not in _SCHEMAS:
+        _SCHEMAS[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[key]).parquet(path)
 
 
 def loan_view(spark: SparkSession, sf_dir: str, cols: Sequence[str] | None = None) -> DataFrame:

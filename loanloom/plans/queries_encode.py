@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loanloom.operators import ensemble, folds
+from loanloom.operators import ensemble, folds, joins
 from loanloom.operators.encoders import (FoldEncoder, FrequencyEncoder, GroupStatsEncoder,
                                          KFoldTargetEncoder, OneHotEncoder, OrdinalEncoder, WOEEncoder)
 from loanloom.operators.features import BaseFeatureEngineer
@@ -240,13 +240,11 @@ freq AS (SELECT collateral_type AS v, count(*) * 1.0::double / (SELECT count(*)
 SELECT t.ID, round(coalesce(f, 0.0::double), 8) AS collateral_share
 FROM test t LEFT JOIN freq ON v = collateral_type""")
 def lookup_default(spark, sf):
-    from loanloom.operators.joins import lookup
-
     train, test = _split(spark, sf, ["ID", "collateral_type"])
     seen = train.where("collateral_type is not null").groupBy("collateral_type").agg(
         F.count(F.lit(1)).alias("n"))
     table = materialize(seen.withColumn("f", F.col("n") / F.lit(train.count())))
-    found = lookup(test, table, ["collateral_type"], table.count(), "n")
+    found = joins.lookup(test, table, ["collateral_type"], table.count(), "n")
     return found.select("ID", F.round(F.coalesce("f", F.lit(0.0)), 8).alias("collateral_share"))
 
 
@@ -256,8 +254,9 @@ SELECT t.ID, s.mean_amount FROM test t LEFT JOIN
 def merge_stats(spark, sf):
     train = train_rows(spark, sf, ["province", "amount_usd"])
     test = test_rows(spark, sf, ["ID", "province"])
-    stats = train.groupBy("province").agg(F.round(F.avg("amount_usd"), 4).alias("mean_amount"))
-    return test.join(stats, "province", "left").select("ID", "mean_amount")
+    stats = materialize(train.groupBy("province").agg(
+        F.round(F.avg("amount_usd"), 4).alias("mean_amount"), F.count(F.lit(1)).alias("n")))
+    return joins.lookup(test, stats, ["province"], stats.count(), "n").select("ID", "mean_amount")
 
 
 def _template(spark, sf):

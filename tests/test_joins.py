@@ -26,3 +26,21 @@ def test_small_tables_are_broadcast_and_large_are_not(spark):
     small = joins.lookup(rows, table, ["k"], 10, "n")._jdf.queryExecution().toString()
     large = joins.lookup(rows, table, ["k"], 10, "n", limit=5)._jdf.queryExecution().toString()
     assert "_salt" not in small and "_salt" in large
+
+
+def test_few_long_texts_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(joins, "MEASURED_ROWS", 5)
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 1000)
+    rows = spark.range(40).select("id", F.concat(F.lit("k"), F.col("id") % 10).alias("k"))
+    table = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.repeat(F.lit("x"), 200).alias("t"))
+    got = joins.lookup(rows, table, ["k"], 10, "n")
+    assert "_salt" in got._jdf.queryExecution().toString() and got.where("length(t) = 200").count() == 40
+
+
+def test_keys_beyond_a_task_are_hot(spark, monkeypatch):
+    """A key far below a thousandth of all rows is spread once it has more rows than a task should get."""
+    monkeypatch.setattr(joins, "HOT_ROWS", 8)
+    rows = spark.range(20_000).select("id", F.when(F.col("id") < 9, F.lit(-1)).otherwise(F.col("id")).alias("k"))
+    table = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("m"))
+    got = joins.hot_key_lookup(rows, table, ["k"], "n")
+    assert got.count() == 20_000 and got.where("k = -1 and m = 8").count() == 9
