@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
 #: Texts are handled in slices of about this many bytes; one longer text makes a slice of its own.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 SLICE_ROWS = 16_384
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -42,6 +43,14 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Python workers outlive their tasks, and executors share their memory with them."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, offsets from 0, bytes) of slices of a text column without nulls."""
     if isinstance(column, pa.ChunkedArray):
@@ -59,6 +68,7 @@ def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[in
         hi = min(max(hi, lo + 1), n, lo + SLICE_ROWS)
         yield lo, hi, offs[lo:hi + 1] - offs[lo], raw[offs[lo]:offs[hi]]
         lo = hi
+    give_back()
 
 
 def word_bounds(data: np.ndarray, offs: np.ndarray, gap: np.ndarray | None = None):
