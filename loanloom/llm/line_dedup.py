@@ -1,10 +1,14 @@
-"""Line dedup over content-defined chunks of lines; repeats are removed after their bytes have been compared.
+"""Line dedup: repeated runs of two lines or more are removed after their bytes have been compared.
 
-A text's lines are hashed, and a second hash rolls over the last ``WINDOW`` line
-hashes. Where it is divisible by ``DIVISOR`` a chunk ends, so cuts depend on
-the lines around them only and an inserted line shifts no others. Chunks of
-two lines or more that occur again anywhere, in the same or another document,
-are removed except for their first place (least doc_id, then position).
+Every pair of adjacent lines is hashed; pairs whose hash occurs again anywhere,
+in the same or another document, are compared by their bytes. A line goes if a
+pair it stands in occurred before (at a lesser doc_id, then place). Since a
+repeated run is made of repeated pairs, the whole run goes whatever lies around
+it, and every line that goes has an equal one that stays.
+
+Content-defined chunks (a second hash rolls over the last ``WINDOW`` line
+hashes, and where it is divisible by ``DIVISOR`` a chunk ends) only count what
+a text consists of and how many of its parts have gone altogether.
 """
 
 from __future__ import annotations
@@ -17,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanloom.llm.tables import attach, materialize, texts
+from loanloom.operators.joins import BROADCAST_ROWS
 
 #: Lines that the rolling hash sees, and one cut in how many lines.
 WINDOW = 2
@@ -44,49 +49,71 @@ def chunk_lines(data: bytes) -> list[tuple[int, list[bytes]]]:
     return out
 
 
-def _chunks(with_bytes: bool):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows: list[tuple] = []
-            size = 0
-
-            def emit() -> pa.RecordBatch:
-                kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
-                return pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
-                    ["doc_id", "idx", "lines", "fp", "chunk"])
-
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                for k, (_, lines) in enumerate(chunk_lines(text.as_buffer().to_pybytes())):
-                    if len(lines) < LEAST:
-                        continue
-                    body = b"\n".join(lines)
-                    fp = xxhash.xxh3_64_intdigest(body)
-                    rows.append((doc, k, len(lines), fp - (1 << 63), body if with_bytes else None))
-                    size += len(body)
-                if size > 4 << 20:
+def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, text) -> place and hash of each pair of adjacent lines."""
+    for batch in batches:
+        docs, idx, fps = [], [], []
+
+        def emit() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(docs, pa.int64()), pa.array(idx, pa.int32()), pa.array(fps, pa.int64())], ["doc_id", "idx", "fp"])
+
+        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            h = [xxhash.xxh3_64_intdigest(line) for line in text.as_buffer().to_pybytes().split(b"\n")]
+            for k in range(len(h) - 1):
+                docs.append(doc)
+                idx.append(k)
+                fps.append(((h[k] * _FACTOR + h[k + 1]) & _MASK) - (1 << 63))
+                if len(fps) >= EMIT_ROWS:
                     yield emit()
-                    rows, size = [], 0
-            if rows:
-                yield emit()
+                    docs, idx, fps = [], [], []
+        if fps:
+            yield emit()
 
-    return run
 
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, text, at) -> place and bytes of the pairs that begin at the lines ``at`` (null: at every line)."""
+    for batch in batches:
+        rows: list[tuple] = []
+        size = 0
+
+        def emit() -> pa.RecordBatch:
+            kinds = [pa.int64(), pa.int32(), pa.binary()]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["doc_id", "idx", "pair"])
+
+        for doc, text, at in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
+            lines = text.as_buffer().to_pybytes().split(b"\n")
+            for k in range(len(lines) - 1) if at is None else at:
+                if k + 1 < len(lines):
+                    rows.append((doc, k, lines[k] + b"\n" + lines[k + 1]))
+                    size += len(rows[-1][2])
+                if size > 4 << 20 or len(rows) >= EMIT_ROWS:
+                    yield emit()
+                    rows, size = [], 0
+        if rows:
+            yield emit()
 
-CHUNK = "doc_id long, idx int, lines int, fp long, chunk binary"
+
+MARK = "doc_id long, idx int, fp long"
+PAIR = "doc_id long, idx int, pair binary"
+#: Line numbers in a table that is broadcast.
+BROADCAST_PLACES = 1_000_000
+#: Rows that a task hands on at a time.
+EMIT_ROWS = 100_000
 
 
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text, gone) -> counts and the text without the chunks numbered in ``gone``."""
+    """(doc_id, text, gone) -> counts and the text without the lines of the pairs that begin at the lines ``gone``."""
     for batch in batches:
         out = []
         for text, gone in zip(batch.column(1), batch.column(2).to_pylist(), strict=True):
             data = text.as_buffer().to_pybytes()
-            chunks, gone = chunk_lines(data), set(gone or ())
-            left = [b"\n".join(lines) for k, (_, lines) in enumerate(chunks) if k not in gone]
-            n = sum(len(lines) for _, lines in chunks)
-            lost = sum(len(lines) for k, (_, lines) in enumerate(chunks) if k in gone)
-            out.append((n if data else 0, len(chunks) if data else 0, len(gone), lost, b"\n".join(left).decode()))
+            chunks, lines = chunk_lines(data), data.split(b"\n")
+            lost = {k for g in gone or () for k in (g, g + 1) if k < len(lines)}
+            left = b"\n".join(line for k, line in enumerate(lines) if k not in lost)
+            whole = sum(all(k in lost for k in range(begin, begin + len(part))) for begin, part in chunks)
+            out.append((len(lines) if data else 0, len(chunks) if data else 0, whole, len(lost), left.decode()))
         kinds = [pa.int64()] * 4 + [pa.string()]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), *(pa.array(c, k) for c, k in zip(zip(*out, strict=True) if out else [[]] * 5, kinds,
@@ -98,27 +125,42 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_lines, n_chunks, n_removed_chunks, n_removed_lines, kept_text.
 
     Null and empty texts have no lines. Lines end at newlines only. Rows with a
-    null doc_id come before all others in the choice of what stays. Rows that
-    share doc_id and text are told apart by nothing: all of them keep or lose
-    the same chunks.
+    null doc_id come before all others in the choice of what stays, and stay
+    whole. Rows that share doc_id and text are told apart by nothing: all of
+    them keep or lose the same lines. ``n_chunks`` counts content-defined
+    chunks, ``n_removed_chunks`` those that lost all of their lines.
     """
     base = texts(docs)
-    marks = materialize(base.mapInArrow(_chunks(False), CHUNK).select("doc_id", "idx", "fp"))
+    marks = materialize(base.mapInArrow(_marks, MARK))
     again = materialize(marks.groupBy("fp").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-    # the bytes of repeated fingerprints only; equal ones meet before the shuffle
-    suspects = materialize(attach(base.mapInArrow(_chunks(True), CHUNK), again, "fp").where("n is not null").select(
-        "doc_id", "idx", F.unhex(F.sha2("chunk", 256)).alias("sha"), "chunk"))
+    suspects = attach(marks.where("doc_id is not null"), again, "fp").where("n is not null")
+    at = materialize(suspects.groupBy("doc_id").agg(F.collect_set("idx").alias("at")))
+    # the bytes of repeated hashes only; rows without a doc_id cannot be looked up and send all of theirs
+    sent = _beside(base, at, "at").where("at is not null or doc_id is null")
+    pairs = materialize(sent.mapInArrow(_pairs, PAIR).select(
+        "doc_id", "idx", F.unhex(F.sha2("pair", 256)).alias("sha"), "pair"))
     place = F.struct("doc_id", "idx")
-    first = materialize(suspects.groupBy("chunk").agg(
+    # equal bytes meet before the shuffle
+    first = materialize(pairs.groupBy("pair").agg(
         F.min(place).alias("first"), F.count(F.lit(1)).alias("n"), F.first("sha").alias("sha"))
         .where("n > 1").select("sha", "first"))
-    lost = attach(suspects.select("doc_id", "idx", "sha"), first, "sha").where(
+    lost = attach(pairs.select("doc_id", "idx", "sha").where("doc_id is not null"), first, "sha").where(
         F.col("first").isNotNull() & ~F.col("first").eqNullSafe(place))
     gone = materialize(lost.groupBy("doc_id").agg(F.collect_set("idx").alias("gone")))
-    touched = materialize(gone.select("doc_id", F.lit(True).alias("_hit")))
-    marked = attach(base, touched, "doc_id")
     shape = "doc_id long, n_lines long, n_chunks long, n_removed_chunks long, n_removed_lines long, kept_text string"
-    cut = marked.where("_hit").select("doc_id", "text").join(gone, "doc_id").mapInArrow(_without, shape)
-    rest = marked.where("_hit is null").select("doc_id", "text", F.array().cast("array<int>").alias("gone")).mapInArrow(
-        _without, shape)
-    return cut.unionByName(rest)
+    return _beside(base, gone, "gone").mapInArrow(_without, shape)
+
+
+def _beside(base: DataFrame, table: DataFrame, column: str) -> DataFrame:
+    """doc_id, text and the array ``column`` of the written ``table`` (doc_id unique), null where it has none.
+
+    A small table is broadcast; beside a large one the texts are shuffled once,
+    but for those without a doc_id.
+    """
+    size = table.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size(column)).alias("m")).first()
+    if size.n <= BROADCAST_ROWS and (size.m or 0) <= BROADCAST_PLACES:
+        found = base.join(F.broadcast(table), "doc_id", "left")
+    else:
+        nameless = base.where("doc_id is null").withColumn(column, F.lit(None).cast("array<int>"))
+        found = base.where("doc_id is not null").join(table.hint("merge"), "doc_id", "left").unionByName(nameless)
+    return found.select("doc_id", "text", column)
