@@ -285,12 +285,16 @@ def identify(docs: DataFrame, params: Params | None = None) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, least: float = 0.3, params: Params | None = None) -> DataFrame:
-    """The rows of ``docs`` whose language is found with a score of ``least`` or more."""
+    """The rows of ``docs`` whose language is found with a score of ``least`` or more.
+
+    Where no row to learn from has a language there is no model, and only texts
+    without letters go.
+    """
     model = train(docs.where(~F.coalesce(held_out(), F.lit(True))), params)
-    if model.net is None:
-        return docs.limit(0)
     names = docs.columns
     text_, letters_ = fresh(docs, "_text"), fresh(docs, "_letters")
+    if model.net is None:
+        return docs.where(F.coalesce(F.col("text").cast("string"), F.lit("")).rlike(r"\p{L}"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = _score(model)
