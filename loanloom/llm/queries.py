@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.llm import ann, exact_dedup, jaccard_join, language_id, line_dedup, lm_score, mixing, segmentation, suffix_dedup, toxicity
+from loanloom.llm import (
+    ann,
+    exact_dedup,
+    hard_negatives,
+    html_extract,
+    jaccard_join,
+    language_id,
+    line_dedup,
+    lm_score,
+    mixing,
+    repair,
+    segmentation,
+    suffix_dedup,
+    toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -92,3 +106,36 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
 @_query("op9_segmentation")
 def op9(spark: SparkSession, sf: str) -> DataFrame:
     return segmentation.digest(segmentation.encode(_table(spark, sf, "documents")))
+
+
+@_query("op11_html_extract")
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    return html_extract.extract(_table(spark, sf, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+@_query("op12_hard_negatives", """
+    WITH v AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda e: floor(256 * CAST(e AS DOUBLE))) AS x
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+          AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+    pairs AS (
+        SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_inner_product(a.x, c.x) AS BIGINT) AS score
+        FROM v a, v c WHERE a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id AND len(a.x) = len(c.x)),
+    positives AS (
+        SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM pairs WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+    SELECT anchor_id, positive_id,
+           CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+           vec_id AS negative_id, positive_score, score AS negative_score
+    FROM positives JOIN pairs USING (anchor_id)
+    WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+    QUALIFY rank <= 5""")
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    return hard_negatives.hard_negatives(_table(spark, sf, "embeddings"))
+
+
+@_query("op13_repair")
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    return repair.repair(repair.damaged(_table(spark, sf, "conversations")))
