@@ -12,14 +12,13 @@ import json
 import time
 import warnings
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 from multiprocessing.pool import ThreadPool
 from typing import Any
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
-                                       MultilayerPerceptronClassifier, RandomForestClassifier)
+from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier
 from pyspark.ml.feature import (OneHotEncoder, StandardScaler, StringIndexer,
                                 VectorAssembler)
 from pyspark.ml.functions import vector_to_array
@@ -29,6 +28,7 @@ from pyspark.sql import types as T
 
 from loanloom.functions.text import seeded_md5
 from loanloom.operators import metrics
+from loanloom.operators.boosting import Booster, BoostSettings, best_prefix, boost
 from loanloom.operators.encoders import FoldEncoder
 from loanloom.operators.features import numeric_columns
 from loanloom.operators.folds import make_folds
@@ -48,10 +48,10 @@ MODEL_DEFAULTS: dict[str, dict[str, Any]] = {
     "rf": {"n_estimators": 300, "max_depth": 30, "seed": 42},
     "extra_trees": {"n_estimators": 300, "max_depth": 30, "seed": 43},
     "lgbm": {"n_estimators": 3000, "learning_rate": 0.01, "num_leaves": 31,
-             "min_child_samples": 30, "subsample": 0.8, "colsample_bytree": 0.8, "seed": 42},
+             "min_child_samples": 30, "subsample": 0.8, "colsample_bytree": 0.8, "reg_alpha": 0.1, "reg_lambda": 1.0, "seed": 42},
     "xgb": {"n_estimators": 1000, "learning_rate": 0.05, "max_depth": 7, "subsample": 0.8,
-            "colsample_bytree": 0.8, "seed": 42},
-    "catboost": {"n_estimators": 1000, "learning_rate": 0.05, "max_depth": 7, "seed": 42},
+            "colsample_bytree": 0.8, "reg_alpha": 0.1, "reg_lambda": 1.0, "seed": 42},
+    "catboost": {"n_estimators": 1000, "learning_rate": 0.05, "max_depth": 7, "reg_lambda": 3.0, "seed": 42},
     "lgbm_diverse": {"n_estimators": 3000, "learning_rate": 0.01, "num_leaves": 15,
                      "min_child_samples": 60, "subsample": 0.6, "colsample_bytree": 0.5, "seed": 123},
     "mlp": {"hidden_dims": [256, 128, 64], "max_iter": 100, "seed": 42},
@@ -61,15 +61,15 @@ MODEL_DEFAULTS: dict[str, dict[str, Any]] = {
 # Settings each kind of model reads, and settings of other libraries that Spark's learners have no counterpart for.
 _TREE = {"n_estimators", "max_depth", "num_leaves", "max_leaves", "min_child_samples", "max_bins", "seed"}
 _READ = {"lr": {"C", "max_iter"}, "rf": _TREE, "extra_trees": _TREE, "mlp": {"hidden_dims", "max_iter", "seed"}}
-_BOOST = _TREE | {"learning_rate", "subsample", "colsample_bytree", "gamma", "border_count", "patience"}
-NO_COUNTERPART = {"reg_alpha", "reg_lambda", "l2_leaf_reg", "random_strength", "bagging_temperature",
-                  "one_hot_max_size", "grow_policy"}
+_BOOST = _TREE | {"learning_rate", "subsample", "colsample_bytree", "gamma", "border_count", "patience", "min_child_weight",
+                  "min_split_gain", "reg_alpha", "reg_lambda"}
+NO_COUNTERPART = {"random_strength", "bagging_temperature", "one_hot_max_size", "grow_policy"}
 # Models that stop early when asked, and after how many trees without gain.
-EARLY = {"lgbm": 200, "lgbm_diverse": 200, "catboost": 200}
+EARLY = {"lgbm": 200, "lgbm_diverse": 200, "catboost": 50}
 
 _ALIASES = {"iterations": "n_estimators", "depth": "max_depth", "lr": "learning_rate",
-            "min_data_in_leaf": "min_child_samples", "min_child_weight": "min_child_samples",
-            "min_samples_leaf": "min_child_samples", "min_split_gain": "gamma", "random_state": "seed"}
+            "min_data_in_leaf": "min_child_samples", "min_samples_leaf": "min_child_samples", "l2_leaf_reg": "reg_lambda",
+            "random_state": "seed"}
 
 
 @dataclass
@@ -130,16 +130,30 @@ def build_model(name: str, params: dict[str, Any] | None = None, n_features: int
         est = MultilayerPerceptronClassifier(layers=layers, maxIter=int(p["max_iter"]),
                                              seed=int(p["seed"]), **common)
         return ModelSpec(name, est, balanced=False, scaled=True, params=p, ignored=ignored)
-    est = GBTClassifier(
-        maxIter=int(p["n_estimators"]), maxDepth=_depth(p), stepSize=float(p["learning_rate"]),
-        subsamplingRate=float(p.get("subsample", 1.0)), minInfoGain=float(p.get("gamma", 0.0)),
-        minInstancesPerNode=max(1, int(p.get("min_child_samples", 1))),
-        featureSubsetStrategy=str(float(p["colsample_bytree"])) if p.get("colsample_bytree", 1.0) < 1.0 else "all",
-        maxBins=int(p.get("border_count", p.get("max_bins", 64))), seed=int(p["seed"]),
-        weightCol=WEIGHT, **common)
+    est = Booster(settings=json.dumps(asdict(boost_settings(name, p))), labelCol=TARGET_COL, featuresCol=FEATURES,
+                  weightCol=WEIGHT, idCol=ID_COL)
     return ModelSpec(name, est, stops_early=name in EARLY, params=p, ignored=ignored)
 
 
+def boost_settings(name: str, p: dict[str, Any]) -> BoostSettings:
+    """Growth of a boosted model: by leaves where the model counts leaves, else by depth.
+
+    ``gamma`` is counted on half the gain, as models of that name do.
+    """
+    by_leaves = name.startswith("lgbm")
+    depth = max(0, int(p.get("max_depth") or 0))
+    return BoostSettings(
+        n_estimators=int(p["n_estimators"]), learning_rate=float(p["learning_rate"]),
+        num_leaves=int(p.get("num_leaves", 31)) if by_leaves else int(p.get("max_leaves", 0)),
+        max_depth=depth if depth or by_leaves or p.get("max_leaves") else 6,
+        min_child_samples=max(1, int(p.get("min_child_samples", 20 if by_leaves else 1))),
+        min_child_weight=float(p.get("min_child_weight", 1e-3 if by_leaves else 1.0)),
+        reg_alpha=float(p.get("reg_alpha", 0.0)), reg_lambda=float(p.get("reg_lambda", 0.0 if by_leaves else 1.0)),
+        min_split_gain=float(p["min_split_gain"]) if "min_split_gain" in p else 2.0 * float(p.get("gamma", 0.0)),
+        subsample=float(p.get("subsample", 1.0)), colsample_bytree=float(p.get("colsample_bytree", 1.0)),
+        max_bins=min(256, int(p.get("border_count", p.get("max_bins", 64)))), seed=int(p["seed"]))
+
+
 def class_weights(df: DataFrame, label: str = TARGET_COL, kind: str = "balanced") -> Column:
     """Row weight from two counts: ``balanced`` n / (2 n_c), or ``ratio`` neg / pos for positives."""
     c = df.agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")).first()
@@ -213,30 +227,9 @@ def _stop_flag(id_col: str = ID_COL, share: int = 10) -> Column:
     return F.conv(F.substring(seeded_md5(id_col, "stop"), 1, 6), 16, 10).cast("long") % share == 0
 
 
-def best_prefix(losses: Sequence[float], patience: int) -> int:
-    """Number of trees with the least loss before ``patience`` trees in a row have brought no gain."""
-    best = 0
-    for i, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = i
-        elif i - best >= patience:
-            break
-    return best + 1
-
-
-def stop_early(spec: ModelSpec, weighted: DataFrame, id_col: str = ID_COL) -> tuple[Any, DataFrame]:
-    """The estimator cut to the best number of trees, and the rows it learns from.
-
-    All trees are fitted without the stop rows, the loss of every prefix on the
-    stop rows is found in one pass, and the best prefix is what is fitted.
-    """
-    flagged = weighted.withColumn(STOP, _stop_flag(id_col))
-    rows, held = flagged.where(~F.col(STOP)).drop(STOP), flagged.where(F.col(STOP)).drop(STOP)
-    if held.isEmpty():
-        return spec.estimator, weighted
-    losses = spec.estimator.fit(rows).evaluateEachIteration(held)
-    trees = best_prefix(losses, int(spec.params.get("patience", EARLY[spec.name])))
-    return spec.estimator.copy().setMaxIter(trees), rows
+def _stopping(spec: ModelSpec) -> BoostSettings:
+    """The settings of a spec with its patience."""
+    return replace(spec.estimator.boost_settings(), patience=int(spec.params.get("patience", EARLY[spec.name])))
 
 
 def fit_model(spec: ModelSpec, rows: DataFrame, early_stop: bool = False, id_col: str = ID_COL,
@@ -249,8 +242,11 @@ def fit_model(spec: ModelSpec, rows: DataFrame, early_stop: bool = False, id_col
     if spec.name == "lr":
         total = weighted.agg(F.sum(WEIGHT)).first()[0]
         est = est.copy().setRegParam(1.0 / (float(spec.params["C"]) * total))
-    if spec.stops_early and early_stop:
-        est, weighted = stop_early(spec, weighted, id_col)
+    if isinstance(est, Booster):
+        est = est.copy()._set(idCol=id_col)
+        if spec.stops_early and early_stop:
+            weighted = weighted.withColumn(STOP, _stop_flag(id_col))
+            est._set(watchCol=STOP, settings=json.dumps(asdict(_stopping(spec))))
     stages = [est]
     if spec.scaled:
         scaler = StandardScaler(inputCol=FEATURES, outputCol="_scaled", withMean=True)
@@ -258,6 +254,28 @@ def fit_model(spec: ModelSpec, rows: DataFrame, early_stop: bool = False, id_col
     return Pipeline(stages=stages).fit(weighted)
 
 
+def fit_folds(spec: ModelSpec, rows: DataFrame, ks: Sequence[int], early_stop: bool = False, id_col: str = ID_COL,
+              label: str = TARGET_COL) -> list[PipelineModel]:
+    """One boosted model per fold, each on the other folds; all of them grow in the same passes over the rows.
+
+    Row weights are those of ``class_weights`` on the other folds, from one count of (fold, label).
+    """
+    cells = {(r["fold_id"], r[label]): r["n"] for r in rows.groupBy("fold_id", label).agg(F.count(F.lit(1)).alias("n")).collect()}
+    stops = spec.stops_early and early_stop
+    held = _stop_flag(id_col) if stops else F.lit(False)
+    fit, watch = [], []
+    for k in ks:
+        pos = max(sum(n for (f, y), n in cells.items() if f != k and y == 1), 1)
+        neg = max(sum(n for (f, y), n in cells.items() if f != k and y == 0), 1)
+        weight = F.when(F.col(label) == 1, F.lit((pos + neg) / (2.0 * pos))).otherwise(F.lit((pos + neg) / (2.0 * neg)))
+        inside = F.col("fold_id") != k
+        fit.append(F.when(inside & ~held, weight))
+        watch.append(F.when(inside & held, weight))
+    settings = _stopping(spec) if stops else spec.estimator.boost_settings()
+    models = boost(rows, fit, watch, settings, label, FEATURES, id_col)
+    return [PipelineModel(stages=[m]) for m in models]
+
+
 def score(model: PipelineModel, rows: DataFrame, keep: Sequence[str], output: str = "score") -> DataFrame:
     return model.transform(rows).select(*keep, positive_score().alias(output))
 
@@ -342,7 +360,15 @@ def cv_train(
     if test is not None:
         test_rows = assemble(encode_test(test) if encode_test else test, cols, (id_col,))
 
+    fitted: dict[int, PipelineModel] = {}
+    if fixed is not None:
+        spec = build_model(name, params, len(cols))
+        if isinstance(spec.estimator, Booster):
+            fitted = dict(zip(ks, fit_folds(spec, fixed, ks, early_stop, id_col, label), strict=True))
+
     def one_fold(k: int) -> tuple[PipelineModel, DataFrame]:
+        if k in fitted:
+            return fitted[k], score(fitted[k], fixed.where(F.col("fold_id") == k), [id_col, label, "fold_id"])
         rows = fixed if fixed is not None else training_table(assemble(encode(train, k), cols, keep))
         spec = build_model(name, params, len(cols))
         model = fit_model(spec, rows.where(F.col("fold_id") != k), early_stop, id_col)

@@ -40,13 +40,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
+def write_table(df: DataFrame) -> str:
+    """Write ``df`` as a parquet table under the checkpoint folder and give its path."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return path
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` as a parquet table under the checkpoint folder and read it back.
 
     Later passes neither repeat the lineage nor depend on the executors that
     computed it, and they only read the columns they need.
     """
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(write_table(df))

@@ -39,14 +39,15 @@ def test_every_kind_scores_all_rows(base, name, params):
 def test_parameter_names_of_other_learners():
     spec = training.build_model("catboost", {"iterations": 7, "depth": 4, "l2_leaf_reg": 1.0})
     assert spec.estimator.getMaxIter() == 7 and spec.estimator.getMaxDepth() == 4
-    assert training.build_model("lgbm", {"num_leaves": 31}).estimator.getMaxDepth() == 5
+    assert spec.estimator.boost_settings().reg_lambda == 1.0
+    assert training.build_model("lgbm", {"num_leaves": 31}).estimator.boost_settings().leaves == 31
 
 
 def test_settings_are_never_swallowed():
     with pytest.raises(ValueError, match="n_estimatorz"):
         training.build_model("xgb", {"n_estimatorz": 5})
-    with pytest.warns(UserWarning, match="reg_alpha"):
-        assert training.build_model("lgbm", {"reg_alpha": 1.0}).ignored == ["reg_alpha"]
+    with pytest.warns(UserWarning, match="random_strength"):
+        assert training.build_model("catboost", {"random_strength": 1.0}).ignored == ["random_strength"]
 
 
 def test_best_prefix():
