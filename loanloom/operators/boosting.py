@@ -39,7 +39,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.operators.ordered import exact_quantiles
+from loanloom.operators.ordered import SMALL_AGGREGATE, running_totals
 from loanloom.session import materialize, write_table
 
 #: Rounds between two writings of the margins.
@@ -125,13 +125,18 @@ class Routes:
 
 
 def bin_edges(rows: DataFrame, n_features: int, max_bins: int, features: str = "features") -> list[list[float]]:
-    """Upper edges of the bins of each feature: distinct exact quantiles. The last bin has none."""
+    """Upper edges of the bins of each feature, from exact ranks: bins of about equal size that end at a value. The last has none."""
     x = vector_to_array(features)
-    wide = rows.select(*[x[i].alias(f"_x{i}") for i in range(n_features)])
-    found = exact_quantiles(wide, wide.columns, [(i, max_bins) for i in range(1, max_bins)])
-    edges: list[set[float]] = [set() for _ in range(n_features)]
-    for r in found.select("column_name", "value").collect():
-        edges[int(r["column_name"][2:])].add(r["value"])
+    names = [f"_x{i}" for i in range(n_features)]
+    long = rows.select(*[x[i].alias(c) for i, c in enumerate(names)]).unpivot([], names, "column_name", "x")
+    n_rows = rows.count() * n_features
+    ranked = running_totals(long, "x", ["column_name"], buckets=1 if n_rows <= SMALL_AGGREGATE else None, n_rows=n_rows)
+    part = F.ceil((F.col("before_n") + F.col("n")) * F.lit(max_bins) / F.col("total_n"))
+    found = ranked.groupBy("column_name", part.alias("part")).agg(F.max("x").alias("x"), F.max("total_n"),
+                                                                  F.max(F.col("before_n") + F.col("n")).alias("upto"))
+    edges: list[list[float]] = [[] for _ in range(n_features)]
+    for r in found.where(F.col("upto") < F.col("max(total_n)")).select("column_name", "x").collect():
+        edges[int(r["column_name"][2:])].append(r["x"])
     return [sorted(e) for e in edges]
 
 

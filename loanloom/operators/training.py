@@ -28,11 +28,12 @@ from pyspark.sql import types as T
 
 from loanloom.functions.text import seeded_md5
 from loanloom.operators import metrics
-from loanloom.operators.boosting import Booster, BoostSettings, best_prefix, boost
+from loanloom.operators.boosting import Booster, BoostSettings, best_prefix, boost  # noqa: F401
 from loanloom.operators.encoders import FoldEncoder
 from loanloom.operators.features import numeric_columns
 from loanloom.operators.folds import make_folds
 from loanloom.operators.ordered import hash_row_numbers
+from loanloom.operators.random_trees import RandomTrees, RandomTreeSettings
 from loanloom.operators.search import suggest
 from loanloom.schema import ID_COL, TARGET_COL
 from loanloom.session import materialize
@@ -60,7 +61,7 @@ MODEL_DEFAULTS: dict[str, dict[str, Any]] = {
 
 # Settings each kind of model reads, and settings of other libraries that Spark's learners have no counterpart for.
 _TREE = {"n_estimators", "max_depth", "num_leaves", "max_leaves", "min_child_samples", "max_bins", "seed"}
-_READ = {"lr": {"C", "max_iter"}, "rf": _TREE, "extra_trees": _TREE, "mlp": {"hidden_dims", "max_iter", "seed"}}
+_READ = {"lr": {"C", "max_iter"}, "rf": _TREE, "extra_trees": _TREE - {"max_bins"}, "mlp": {"hidden_dims", "max_iter", "seed"}}
 _BOOST = _TREE | {"learning_rate", "subsample", "colsample_bytree", "gamma", "border_count", "patience", "min_child_weight",
                   "min_split_gain", "reg_alpha", "reg_lambda"}
 NO_COUNTERPART = {"random_strength", "bagging_temperature", "one_hot_max_size", "grow_policy"}
@@ -116,15 +117,15 @@ def build_model(name: str, params: dict[str, Any] | None = None, n_features: int
         est = LogisticRegression(maxIter=int(p["max_iter"]), elasticNetParam=0.0, tol=1e-7,
                                  standardization=False, weightCol=WEIGHT, **common)
         return ModelSpec(name, est, params=p, ignored=ignored)
-    if name in ("rf", "extra_trees"):
-        # Spark has no random split points; extra trees are approximated by
-        # coarse bins, all rows per tree and another seed
+    if name == "rf":
         est = RandomForestClassifier(
             numTrees=int(p["n_estimators"]), maxDepth=_depth(p), seed=int(p["seed"]),
             minInstancesPerNode=int(p.get("min_child_samples", 1)), weightCol=WEIGHT,
-            featureSubsetStrategy="sqrt", bootstrap=name == "rf",
-            maxBins=int(p.get("max_bins", 64 if name == "rf" else 8)), **common)
+            featureSubsetStrategy="sqrt", bootstrap=True, maxBins=int(p.get("max_bins", 64)), **common)
         return ModelSpec(name, est, params=p, ignored=ignored)
+    if name == "extra_trees":
+        settings = RandomTreeSettings(int(p["n_estimators"]), _depth(p), int(p.get("min_child_samples", 1)), seed=int(p["seed"]))
+        return ModelSpec(name, RandomTrees(settings=json.dumps(asdict(settings)), weightCol=WEIGHT, **common), params=p, ignored=ignored)
     if name == "mlp":
         layers = [n_features or 1, *[int(h) for h in p["hidden_dims"]], 2]
         est = MultilayerPerceptronClassifier(layers=layers, maxIter=int(p["max_iter"]),
