@@ -14,6 +14,7 @@ import warnings
 from collections.abc import Callable, Sequence
 from dataclasses import asdict, dataclass, field, replace
 from multiprocessing.pool import ThreadPool
+from threading import Lock
 from typing import Any
 
 from pyspark import inheritable_thread_target
@@ -34,7 +35,7 @@ from loanloom.operators.features import numeric_columns
 from loanloom.operators.folds import make_folds
 from loanloom.operators.ordered import hash_row_numbers
 from loanloom.operators.random_trees import RandomTrees, RandomTreeSettings
-from loanloom.operators.search import suggest
+from loanloom.operators.search import SEARCH_SPACES, learned_suggestion, suggest
 from loanloom.schema import ID_COL, TARGET_COL
 from loanloom.session import materialize
 from loanloom.sources.readers import path_exists
@@ -63,8 +64,8 @@ MODEL_DEFAULTS: dict[str, dict[str, Any]] = {
 _TREE = {"n_estimators", "max_depth", "num_leaves", "max_leaves", "min_child_samples", "max_bins", "seed"}
 _READ = {"lr": {"C", "max_iter"}, "rf": _TREE, "extra_trees": _TREE - {"max_bins"}, "mlp": {"hidden_dims", "max_iter", "seed"}}
 _BOOST = _TREE | {"learning_rate", "subsample", "colsample_bytree", "gamma", "border_count", "patience", "min_child_weight",
-                  "min_split_gain", "reg_alpha", "reg_lambda"}
-NO_COUNTERPART = {"random_strength", "bagging_temperature", "one_hot_max_size", "grow_policy"}
+                  "min_split_gain", "reg_alpha", "reg_lambda", "grow_policy"}
+NO_COUNTERPART = {"random_strength", "bagging_temperature", "one_hot_max_size"}
 # Models that stop early when asked, and after how many trees without gain.
 EARLY = {"lgbm": 200, "lgbm_diverse": 200, "catboost": 50}
 
@@ -104,8 +105,6 @@ def build_model(name: str, params: dict[str, Any] | None = None, n_features: int
     p = {**MODEL_DEFAULTS[name],
          **{_ALIASES.get(k, k): v for k, v in (params or {}).items()}}
     ignored = sorted(NO_COUNTERPART & set(p))
-    if "max_leaves" in p and p.get("max_depth", 0) > 0:
-        ignored.append("max_leaves")
     unknown = set(p) - _READ.get(name, _BOOST) - NO_COUNTERPART
     if unknown:
         raise ValueError(f"'{name}' has no settings {sorted(unknown)}")
@@ -137,15 +136,15 @@ def build_model(name: str, params: dict[str, Any] | None = None, n_features: int
 
 
 def boost_settings(name: str, p: dict[str, Any]) -> BoostSettings:
-    """Growth of a boosted model: by leaves where the model counts leaves, else by depth.
+    """Growth of a boosted model: by leaves where the model counts leaves or asks for it, else by depth.
 
     ``gamma`` is counted on half the gain, as models of that name do.
     """
-    by_leaves = name.startswith("lgbm")
+    by_leaves = name.startswith("lgbm") or p.get("grow_policy") == "Lossguide"
     depth = max(0, int(p.get("max_depth") or 0))
     return BoostSettings(
         n_estimators=int(p["n_estimators"]), learning_rate=float(p["learning_rate"]),
-        num_leaves=int(p.get("num_leaves", 31)) if by_leaves else int(p.get("max_leaves", 0)),
+        num_leaves=int(p.get("num_leaves", p.get("max_leaves", 31))) if by_leaves else int(p.get("max_leaves", 0)),
         max_depth=depth if depth or by_leaves or p.get("max_leaves") else 6,
         min_child_samples=max(1, int(p.get("min_child_samples", 20 if by_leaves else 1))),
         min_child_weight=float(p.get("min_child_weight", 1e-3 if by_leaves else 1.0)),
@@ -540,6 +539,78 @@ def tune_model(name: str, train: DataFrame, n_trials: int = 50, seed: int = 42,
     return json.loads(best["params"]), table
 
 
+_RUNGS = T.StructType([
+    T.StructField("trial", T.IntegerType()), T.StructField("rung", T.IntegerType()), T.StructField("share", T.DoubleType()),
+    T.StructField("params", T.StringType()), T.StructField("mean_auc", T.DoubleType()),
+    T.StructField("fold_aucs", T.ArrayType(T.DoubleType())), T.StructField("key", T.StringType())])
+
+
+def adaptive_search(name: str, train: DataFrame, n_trials: int = 50, seed: int = 42, trials_path: str | None = None,
+                    space: str | dict | None = None, fixed: dict[str, Any] | None = None, variant: str = "tuning",
+                    batch: int = 4, rungs: Sequence[float] = (0.25, 1.0), parallelism: int = 2) -> tuple[dict[str, Any], DataFrame]:
+    """Best parameters of a search that learns from its own trials, and the table of its fits.
+
+    Trials come in batches. Each batch is drawn from densities of the trials of
+    earlier batches; its fits run side by side. Every rung gives a share of the
+    trees (or iterations); the better half of a batch goes on to the next one.
+    What a trial is worth is its rung first, then its mean AUC.
+
+    Fits are written to ``trials_path`` as they end and known by model, variant,
+    parameters, share, rung and the training rows, so a search that is stopped
+    and begun again does no fit twice and draws the same trials.
+    """
+    spark = train.sparkSession
+    rules = SEARCH_SPACES[space or name] if not isinstance(space, dict) else space
+    data = _fingerprint(train)
+    known: dict[str, Any] = {}
+    if trials_path and path_exists(spark, trials_path):
+        known = {r["key"]: r for r in spark.read.schema(_RUNGS).parquet(trials_path).collect()}
+    ready: Assembled | None = None
+    writing = Lock()
+    table: list[tuple] = []
+    done: list[tuple[dict[str, Any], tuple[int, float]]] = []
+
+    def fit(job: tuple[int, int, float, dict[str, Any]]) -> tuple:
+        trial, rung, share, params = job
+        key = hashlib.sha256(json.dumps([name, variant, params, fixed or {}, rung, share, data], sort_keys=True).encode()).hexdigest()
+        if key in known:
+            r = known[key]
+            return trial, rung, share, json.dumps(params, sort_keys=True), r["mean_auc"], list(r["fold_aucs"]), key
+        result = cv_train(name, _shortened(name, {**params, **(fixed or {})}, share), ready, variant=variant)
+        row = (trial, rung, share, json.dumps(params, sort_keys=True), result.mean_auc, result.fold_aucs, key)
+        if trials_path:
+            # two appends to one folder at the same time would clear each other's temporary files
+            with writing:
+                spark.createDataFrame([row], _RUNGS).write.mode("append").parquet(trials_path)
+        return row
+
+    ready = assemble_once(train)
+    task = inheritable_thread_target(spark)(fit)
+    for first in range(0, n_trials, batch):
+        drawn = [(t, learned_suggestion(rules, done, t, seed)) for t in range(first, min(first + batch, n_trials))]
+        reached: dict[int, tuple[int, float]] = {}
+        going = drawn
+        for rung, share in enumerate(rungs):
+            with ThreadPool(max(1, min(parallelism, len(going)))) as pool:
+                rows = pool.map(task, [(t, rung, share, p) for t, p in going])
+            table += rows
+            for row in rows:
+                reached[row[0]] = (rung, row[4])
+            ranked = sorted(going, key=lambda tp: (-reached[tp[0]][1], tp[0]))
+            going = sorted(ranked[:max(1, len(ranked) // 2)], key=lambda tp: tp[0])
+        done += [(p, reached[t]) for t, p in drawn]
+    best = max(range(len(done)), key=lambda i: (done[i][1], -i))
+    return done[best][0], spark.createDataFrame(table, _RUNGS)
+
+
+def _shortened(name: str, params: dict[str, Any], share: float) -> dict[str, Any]:
+    """Parameters with a share of the trees or iterations."""
+    spelled = next((k for k in ("n_estimators", "iterations", "max_iter") if k in params), None)
+    spelled = spelled or ("max_iter" if "max_iter" in MODEL_DEFAULTS[name] else "n_estimators")
+    full = params.get(spelled, MODEL_DEFAULTS[name].get(_ALIASES.get(spelled, spelled)))
+    return {**params, spelled: max(1, round(share * full))}
+
+
 def baseline(train: DataFrame, test: DataFrame, cols: Sequence[str], medians: dict[str, float],
              holdout: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Balanced logistic regression on imputed numbers: hold-out metrics and test scores."""
