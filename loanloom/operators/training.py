@@ -33,6 +33,7 @@ from loanloom.operators.boosting import Booster, BoostSettings, best_prefix, boo
 from loanloom.operators.encoders import FoldEncoder
 from loanloom.operators.features import numeric_columns
 from loanloom.operators.folds import make_folds
+from loanloom.operators.linear import LinearModel, logistic_fits
 from loanloom.operators.ordered import hash_row_numbers
 from loanloom.operators.random_trees import RandomTrees, RandomTreeSettings
 from loanloom.operators.search import SEARCH_SPACES, learned_suggestion, suggest
@@ -43,6 +44,8 @@ from loanloom.sources.readers import path_exists
 FEATURES = "features"
 WEIGHT = "weight"
 STOP = "is_stop_row"
+#: Up to so many columns logistic regressions of all folds are fitted by Newton steps in common passes.
+NEWTON_COLUMNS = 512
 
 # Default settings of the named models.
 MODEL_DEFAULTS: dict[str, dict[str, Any]] = {
@@ -256,7 +259,7 @@ def fit_model(spec: ModelSpec, rows: DataFrame, early_stop: bool = False, id_col
 
 def fit_folds(spec: ModelSpec, rows: DataFrame, ks: Sequence[int], early_stop: bool = False, id_col: str = ID_COL,
               label: str = TARGET_COL) -> list[PipelineModel]:
-    """One boosted model per fold, each on the other folds; all of them grow in the same passes over the rows.
+    """One boosted or logistic model per fold, each on the other folds; all of them learn in the same passes over the rows.
 
     Row weights are those of ``class_weights`` on the other folds, from one count of (fold, label).
     """
@@ -271,6 +274,10 @@ def fit_folds(spec: ModelSpec, rows: DataFrame, ks: Sequence[int], early_stop: b
         inside = F.col("fold_id") != k
         fit.append(F.when(inside & ~held, weight))
         watch.append(F.when(inside & held, weight))
+    if spec.name == "lr":
+        # a penalty of 1 / C on the sum of weighted losses
+        found = logistic_fits(rows, vector_to_array(F.col(FEATURES)), fit, 1.0 / float(spec.params["C"]), label)
+        return [PipelineModel(stages=[LinearModel.of(*f, FEATURES)]) for f in found]
     settings = _stopping(spec) if stops else spec.estimator.boost_settings()
     models = boost(rows, fit, watch, settings, label, FEATURES, id_col)
     return [PipelineModel(stages=[m]) for m in models]
@@ -363,7 +370,7 @@ def cv_train(
     fitted: dict[int, PipelineModel] = {}
     if fixed is not None:
         spec = build_model(name, params, len(cols))
-        if isinstance(spec.estimator, Booster):
+        if isinstance(spec.estimator, Booster) or (spec.name == "lr" and len(cols) <= NEWTON_COLUMNS):
             fitted = dict(zip(ks, fit_folds(spec, fixed, ks, early_stop, id_col, label), strict=True))
 
     def one_fold(k: int) -> tuple[PipelineModel, DataFrame]:

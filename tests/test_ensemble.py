@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loanloom.operators import ensemble as en
-from loanloom.operators import metrics, search, stacking
+from loanloom.operators import linear, metrics, search, stacking
 from loanloom.operators.folds import make_folds
 from loanloom.operators.training import build_model
 
@@ -112,13 +112,13 @@ def test_mean_of_ranks(wide):
 
 
 def test_ridge_equals_the_closed_form(wide):
-    rows = stacking._vector(wide.withColumn("Target", F.col("Target").cast("double")), MODELS)
-    m = stacking._ridge(rows, 1.0)
+    beta, intercept = linear.ridge_of_moments(sum(linear.fold_moments(wide, MODELS).values()), 1.0)
     pdf = wide.toPandas()
     x, y = pdf[MODELS].to_numpy(), pdf["Target"].to_numpy(float)
     xc, yc = x - x.mean(0), y - y.mean()
     want = np.linalg.solve(xc.T @ xc + np.eye(3), xc.T @ yc)
-    assert m.coefficients.toArray() == pytest.approx(want, abs=1e-5)
+    assert beta == pytest.approx(want, abs=1e-9)
+    assert intercept == pytest.approx(y.mean() - x.mean(0) @ want, abs=1e-9)
 
 
 def test_stacking_is_cross_fitted_and_option_is_not(wide):
