@@ -365,6 +365,7 @@ class _Job:
     features: np.ndarray
     turn: int
     losses: bool
+    seed: int
 
 
 def _gradients(jobs: Sequence[_Job], scale: float, s: BoostSettings, batches: Iterator[pa.RecordBatch], losses: np.ndarray):
@@ -381,7 +382,7 @@ def _gradients(jobs: Sequence[_Job], scale: float, s: BoostSettings, batches: It
                 f = _margin(margins[seen], job.model, job.since, bins[seen])
                 w = watch[seen, job.model]
                 losses[j] += (np.rint(w * np.logaddexp(0, np.where(y[seen] > 0, -f, f)) * scale).sum(), np.rint(w * scale).sum(), len(w))
-            at = np.flatnonzero((fit[:, job.model] > 0) & sampled(row_hash, s.seed, job.turn, s.subsample))
+            at = np.flatnonzero((fit[:, job.model] > 0) & sampled(row_hash, job.seed, job.turn, s.subsample))
             x = bins[at]
             place = job.route.value[job.route.of_bins(x)].astype(np.int64)
             inside = place >= 0
@@ -468,8 +469,8 @@ def _finish(jobs: Sequence[_Job], paths: Sequence[Sequence[int]], n_features: in
 class _Boost:
     """A fit of several models on one table."""
 
-    def __init__(self, rows: DataFrame, n_models: int, n_features: int, settings: BoostSettings) -> None:
-        self.s, self.n_models, self.n_features = settings, n_models, n_features
+    def __init__(self, rows: DataFrame, n_models: int, n_features: int, settings: BoostSettings, seeds: Sequence[int]) -> None:
+        self.s, self.n_models, self.n_features, self.seeds = settings, n_models, n_features, list(seeds)
         self.table = rows
         self.spark = _plain(rows.sparkSession)
         self.counts = list(rows.select(*[F.count_if(F.col("fit")[m] > 0) for m in range(n_models)]).first())
@@ -501,13 +502,13 @@ class _Boost:
         for turn in range(s.n_estimators + 1):
             if turn and turn % WRITE_EVERY == 0 and turn < s.n_estimators:
                 self._write_margins()
-            allowed = allowed_features(self.n_features, s.seed, turn, s.colsample_bytree)
-            growing = {m: Growing(s, allowed, self.scale) for m in active}
+            growing = {m: Growing(s, allowed_features(self.n_features, self.seeds[m], turn, s.colsample_bytree), self.scale)
+                       for m in active}
             last = turn == s.n_estimators
             if last and not (stopping and any(self.watched[m] for m in active)):
                 break
             root = Routes(Tree([0], [0], [0.0], [0], [0], [0.0], [0.0], [0.0]))
-            jobs = [_Job(m, self.since[m], root, 1, allowed, turn, stopping and self.watched[m]) for m in active]
+            jobs = [_Job(m, self.since[m], root, 1, growing[m].allowed, turn, stopping and self.watched[m], self.seeds[m]) for m in active]
             small = [j for j in jobs if self.counts[j.model] <= SMALL and not last]
             large = [j for j in jobs if j not in small]
             found = self._finish_leaves(small, [[1] for _ in small], growing) if small else {}
@@ -554,12 +555,12 @@ class _Boost:
                 many = [p for p in paths if p not in few]
                 if many:
                     route = Routes(g.tree(g.expanded, self.edges, {g.smaller(p): i for i, p in enumerate(many)}))
-                    counted.append(_Job(m, self.since[m], route, len(many), g.allowed, turn, False))
+                    counted.append(_Job(m, self.since[m], route, len(many), g.allowed, turn, False, self.seeds[m]))
                     counted_paths.append(many)
                 if few:
                     children = [c for p in few for c in (2 * p, 2 * p + 1)]
                     route = Routes(g.tree(g.expanded, self.edges, {c: i for i, c in enumerate(children)}))
-                    shipped.append(_Job(m, self.since[m], route, len(children), g.allowed, turn, False))
+                    shipped.append(_Job(m, self.since[m], route, len(children), g.allowed, turn, False, self.seeds[m]))
                     shipped_paths.append(children)
             if counted:
                 cells, _ = self._pass(counted)
@@ -640,10 +641,10 @@ def _plain(spark: SparkSession) -> SparkSession:
 
 
 def boost(rows: DataFrame, fit: Sequence[Column], watch: Sequence[Column], settings: BoostSettings, label: str = "Target",
-          features: str = "features", id_col: str = "ID") -> list[BoostedModel]:
+          features: str = "features", id_col: str = "ID", seeds: Sequence[int] | None = None) -> list[BoostedModel]:
     """One model for each pair of ``fit`` and ``watch``: row weights that learn and row weights that decide when to stop.
 
-    A weight of 0 or null leaves a row out. All models grow in the same passes.
+    A weight of 0 or null leaves a row out. All models grow in the same passes. ``seeds`` gives each model its own.
     With ``patience``, a model stops once the watched log loss has not
     fallen for so many trees, and keeps the trees up to the least loss.
     """
@@ -673,7 +674,7 @@ def boost(rows: DataFrame, fit: Sequence[Column], watch: Sequence[Column], setti
         weights(watch).alias("watch"), vector_to_array(features).alias("bins"))
     kinds = SCHEMA.rsplit(", margin", 1)[0]
     table = materialize(used.where(F.exists("fit", lambda w: w > 0) | F.exists("watch", lambda w: w > 0)).mapInArrow(cut, kinds))
-    found = _Boost(table, len(fit), size.n, settings).fit(edges)
+    found = _Boost(table, len(fit), size.n, settings, seeds or [settings.seed] * len(fit)).fit(edges)
     return [BoostedModel.of(base, trees, losses, size.n, settings, features) for base, trees, losses in found]
 
 

@@ -258,10 +258,11 @@ def fit_model(spec: ModelSpec, rows: DataFrame, early_stop: bool = False, id_col
 
 
 def fit_folds(spec: ModelSpec, rows: DataFrame, ks: Sequence[int], early_stop: bool = False, id_col: str = ID_COL,
-              label: str = TARGET_COL) -> list[PipelineModel]:
+              label: str = TARGET_COL, seeds: Sequence[int] = ()) -> list[PipelineModel]:
     """One boosted or logistic model per fold, each on the other folds; all of them learn in the same passes over the rows.
 
-    Row weights are those of ``class_weights`` on the other folds, from one count of (fold, label).
+    Row weights are those of ``class_weights`` on the other folds, from one count of (fold, label). With ``seeds`` there is
+    a boosted model for each seed and fold, the folds of the first seed first.
     """
     cells = {(r["fold_id"], r[label]): r["n"] for r in rows.groupBy("fold_id", label).agg(F.count(F.lit(1)).alias("n")).collect()}
     stops = spec.stops_early and early_stop
@@ -279,7 +280,8 @@ def fit_folds(spec: ModelSpec, rows: DataFrame, ks: Sequence[int], early_stop: b
         found = logistic_fits(rows, vector_to_array(F.col(FEATURES)), fit, 1.0 / float(spec.params["C"]), label)
         return [PipelineModel(stages=[LinearModel.of(*f, FEATURES)]) for f in found]
     settings = _stopping(spec) if stops else spec.estimator.boost_settings()
-    models = boost(rows, fit, watch, settings, label, FEATURES, id_col)
+    times = max(1, len(seeds))
+    models = boost(rows, fit * times, watch * times, settings, label, FEATURES, id_col, [s for s in seeds for _ in ks] or None)
     return [PipelineModel(stages=[m]) for m in models]
 
 
@@ -344,13 +346,15 @@ def cv_train(
     encode: Callable[[DataFrame, int], DataFrame] | None = None,
     encode_test: Callable[[DataFrame], DataFrame] | None = None,
     parallelism: int = 5,
+    fitted: dict[int, PipelineModel] | None = None,
 ) -> CvResult:
     """Fit once per fold on the other folds, score the fold; test = mean over folds.
 
     ``train`` carries ID, target and ``fold_id``, or is assembled already. With ``encode`` the training
     and held-out rows of fold k are encoded as ``encode(train, k)``, which may
     only use other folds; ``encode_test`` encodes the test rows once. Up to
-    ``parallelism`` folds are fitted at the same time.
+    ``parallelism`` folds are fitted at the same time; ``fitted`` has models
+    of folds that are fitted already.
     """
     start = time.perf_counter()
     ready = train if isinstance(train, Assembled) else None
@@ -367,8 +371,8 @@ def cv_train(
     if test is not None:
         test_rows = assemble(encode_test(test) if encode_test else test, cols, (id_col,))
 
-    fitted: dict[int, PipelineModel] = {}
-    if fixed is not None:
+    fitted = dict(fitted or {})
+    if fixed is not None and not fitted:
         spec = build_model(name, params, len(cols))
         if isinstance(spec.estimator, Booster) or (spec.name == "lr" and len(cols) <= NEWTON_COLUMNS):
             fitted = dict(zip(ks, fit_folds(spec, fixed, ks, early_stop, id_col, label), strict=True))
@@ -419,7 +423,14 @@ def multi_seed(name: str, params: dict[str, Any], train: DataFrame, test: DataFr
     """Mean out-of-fold and test scores over seeds, and the single-seed results, best first."""
     ready = train if options.get("encode") or isinstance(train, Assembled) else assemble_once(
         train, options.pop("features", None))
-    runs = [cv_train(name, {**params, "seed": s}, ready, test, variant=f"seed{s}", **options)
+    made: dict[int, dict[int, PipelineModel]] = {}
+    spec = build_model(name, params)
+    if isinstance(ready, Assembled) and isinstance(spec.estimator, Booster):
+        # the models of all seeds and folds grow in the same passes
+        ks = [r[0] for r in ready.rows.select("fold_id").distinct().orderBy("fold_id").collect()]
+        models = fit_folds(spec, ready.rows, ks, options.get("early_stop", False), seeds=seeds)
+        made = {s: dict(zip(ks, models[i * len(ks):(i + 1) * len(ks)], strict=True)) for i, s in enumerate(seeds)}
+    runs = [cv_train(name, {**params, "seed": s}, ready, test, variant=f"seed{s}", fitted=made.get(s), **options)
             for s in seeds]
     oof, scored = runs[0].oof, runs[0].test
     for r in runs[1:]:

@@ -1,14 +1,15 @@
 """Queries for training, stacking, calibration and whole runs.
 
-Learners are set small here so that a check run stays short; rows and tables
-are always whole.
+Rows, columns and features are whole. Boosted models learn up to ``MANY`` trees
+and stop when their watched rows gain no more; ``FIXED`` is for models that do
+not stop.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loanloom.operators import metrics, stacking, training
+from loanloom.operators import attribution, metrics, search, stacking, training
 from loanloom.operators.features import BaseFeatureEngineer
 from loanloom.operators.folds import holdout_split, make_folds
 from loanloom.operators.ordered import medians
@@ -18,18 +19,17 @@ from loanloom.plans.loanview import SCORES, scored_rows, test_rows, train_rows
 from loanloom.schema import ID_COL, NUMERIC_COLS, TARGET_COL
 from loanloom.session import materialize
 
-SMALL_TREES = {"n_estimators": 5, "max_depth": 3, "learning_rate": 0.2}
-RAW = ["ID", "Target", "amount_usd", "annual_rate_pct", "term_months", "monthly_income_usd",
-       "existing_obligations", "months_at_employer", "province", "employment_sector"]
+MANY = {"n_estimators": 1000, "num_leaves": 31, "learning_rate": 0.1, "patience": 20}
+FIXED = {"n_estimators": 60, "max_depth": 6, "learning_rate": 0.1}
 
 
-def _tables(spark, sf, cols=RAW):
-    """Base features of train (with folds) and test, written once."""
-    train = materialize(train_rows(spark, sf, cols))
-    test = test_rows(spark, sf, [c for c in cols if c != "Target"])
-    eng = BaseFeatureEngineer(ranks=False).fit(train)
+def _tables(spark, sf):
+    """Base features of train (with folds) and test from all raw columns, ranks included, written once."""
+    train = materialize(train_rows(spark, sf))
+    test = test_rows(spark, sf)
+    eng = BaseFeatureEngineer().fit(train)
     tr = materialize(eng.transform(train).join(make_folds(train), ID_COL))
-    return tr, materialize(eng.transform(test))
+    return tr, materialize(eng.transform(test.drop(TARGET_COL)))
 
 
 def _holdout_metrics(name, params):
@@ -46,12 +46,12 @@ def _holdout_metrics(name, params):
     return run
 
 
-query("i01_logistic_regression")(_holdout_metrics("lr", {"max_iter": 50}))
-query("i03_random_forest")(_holdout_metrics("rf", {"n_estimators": 10, "max_depth": 5}))
-query("i04_extra_trees")(_holdout_metrics("extra_trees", {"n_estimators": 10, "max_depth": 5}))
-query("i05_gradient_boosting")(_holdout_metrics("xgb", SMALL_TREES))
-query("i07_early_stopping")(_holdout_metrics("lgbm", {**SMALL_TREES, "n_estimators": 8}))
-query("i08_perceptron")(_holdout_metrics("mlp", {"hidden_dims": [8], "max_iter": 20}))
+query("i01_logistic_regression")(_holdout_metrics("lr", {}))
+query("i03_random_forest")(_holdout_metrics("rf", {"max_depth": 12}))
+query("i04_extra_trees")(_holdout_metrics("extra_trees", {"n_estimators": 100, "max_depth": 10}))
+query("i05_gradient_boosting")(_holdout_metrics("xgb", {"n_estimators": 150, "max_depth": 6, "learning_rate": 0.1}))
+query("i07_early_stopping")(_holdout_metrics("lgbm", {**MANY, "learning_rate": 0.02, "patience": 50}))
+query("i08_perceptron")(_holdout_metrics("mlp", {}))
 
 
 @query("c33_feature_matrix")
@@ -85,20 +85,19 @@ def class_weights(spark, sf):
 @query("i10_cv_train")
 def cv_train(spark, sf):
     train, test = _tables(spark, sf)
-    result = training.cv_train("lgbm", SMALL_TREES, train, test, variant="base")
-    return result.oof
+    return training.cv_train("lgbm", MANY, train, test, variant="base", early_stop=True).oof
 
 
 @query("i10_cv_test_scores")
 def cv_test_scores(spark, sf):
     train, test = _tables(spark, sf)
-    return training.cv_train("lr", {"max_iter": 20}, train, test, variant="base").test
+    return training.cv_train("lr", {}, train, test, variant="base").test
 
 
 @query("i11_cv_within_fold_encoding")
 def cv_within_fold(spark, sf):
     train, test = _tables(spark, sf)
-    result = training.cv_train_encoded("xgb", SMALL_TREES, train, test,
+    result = training.cv_train_encoded("xgb", {**FIXED, "n_estimators": 40}, train, test,
                                        ["province", "employment_sector", "province_sector"])
     return result.metrics_row().drop("train_time_sec")
 
@@ -107,7 +106,7 @@ def cv_within_fold(spark, sf):
 def train_models(spark, sf):
     train, test = _tables(spark, sf)
     done = training.train_models(
-        [("lr", "base", {"max_iter": 20}), ("xgb", "base", SMALL_TREES), ("rf", "absent", {})],
+        [("lr", "base", {}), ("xgb", "base", FIXED), ("rf", "absent", {})],
         {"base": (train, test)})
     out = done[0].metrics_row()
     for r in done[1:]:
@@ -118,7 +117,8 @@ def train_models(spark, sf):
 @query("i13_multi_seed")
 def multi_seed(spark, sf):
     train, test = _tables(spark, sf)
-    oof, _, _ = training.multi_seed("catboost", {**SMALL_TREES, "subsample": 0.7}, train, test, [0, 1])
+    oof, _, _ = training.multi_seed("catboost", {"n_estimators": 30, "depth": 5, "learning_rate": 0.2, "subsample": 0.7}, train, test,
+                                    range(10))
     return oof
 
 
@@ -126,7 +126,7 @@ def multi_seed(spark, sf):
 def feature_importance(spark, sf):
     train, _ = _tables(spark, sf)
     cols = training.numeric_columns(train)
-    model = training.fit_model(training.build_model("lgbm", SMALL_TREES), training.assemble(train, cols))
+    model = training.fit_model(training.build_model("lgbm", MANY), training.assemble(train, cols), early_stop=True)
     return training.feature_importances(model, cols)
 
 
@@ -134,7 +134,7 @@ def feature_importance(spark, sf):
 def top_features(spark, sf):
     train, _ = _tables(spark, sf)
     cols = training.numeric_columns(train)
-    model = training.fit_model(training.build_model("rf", {"n_estimators": 10, "max_depth": 5}),
+    model = training.fit_model(training.build_model("rf", {"n_estimators": 100, "max_depth": 10}),
                                training.assemble(train, cols))
     return training.feature_importances(model, cols, top=20)
 
@@ -142,30 +142,95 @@ def top_features(spark, sf):
 @query("i15_permutation_importance")
 def permutation(spark, sf):
     train, _ = _tables(spark, sf)
-    cols = ["annual_rate_pct", "amount_usd", "monthly_income_usd", "debt_to_income"]
-    model = training.fit_model(training.build_model("lgbm", SMALL_TREES), training.assemble(train, cols))
+    cols = training.numeric_columns(train)
+    model = training.fit_model(training.build_model("lgbm", MANY), training.assemble(train, cols), early_stop=True)
     return training.permutation_importance(model, train, cols)
 
 
+@query("i15_row_attribution")
+def attribution_rows(spark, sf):
+    """Exact Shapley values of every unlabelled row: base plus the contributions is the margin."""
+    train, test = _tables(spark, sf)
+    cols = training.numeric_columns(train)
+    model = training.fit_model(training.build_model("lgbm", MANY), training.assemble(train, cols), early_stop=True)
+    return attribution.explain(model.stages[0], training.assemble(test, cols, (ID_COL,)))
+
+
+@query("i15_mean_attribution")
+def attribution_means(spark, sf):
+    train, _ = _tables(spark, sf)
+    cols = training.numeric_columns(train)
+    rows = materialize(training.assemble(train, cols))
+    model = training.fit_model(training.build_model("lgbm", MANY), rows, early_stop=True)
+    return attribution.mean_contributions(attribution.explain(model.stages[0], rows), cols)
+
+
 @query("i16_adversarial_validation")
 def adversarial(spark, sf):
-    cols = ["ID", "amount_usd", "annual_rate_pct", "term_months"]
-    return training.adversarial_validation(
-        train_rows(spark, sf, [*cols, "Target"]), test_rows(spark, sf, cols), 3, params=SMALL_TREES)
+    train, test = _tables(spark, sf)
+    return training.adversarial_validation(train.drop("fold_id"), test, 5, params={"n_estimators": 50})
 
 
 @query("i17_random_search")
 def random_search(spark, sf):
     train, _ = _tables(spark, sf)
-    space = {"max_depth": ("int", 2, 4), "learning_rate": ("log", 0.05, 0.3)}
-    _, table = training.tune_model("xgb", train, 2, space=space, fixed={"n_estimators": 4})
+    _, table = training.tune_model("xgb", train, 4, fixed={"n_estimators": 20})
     return table
 
 
+@query("i17_adaptive_search")
+def adaptive_search(spark, sf):
+    train, _ = _tables(spark, sf)
+    space = {k: v for k, v in search.SEARCH_SPACES["lgbm"].items() if k != "n_estimators"}
+    _, table = training.adaptive_search("lgbm", train, 8, space=space, fixed={"n_estimators": 20}, batch=4)
+    return table
+
+
+def _unit_sql(name):
+    return (f"cast(cast('0x' || substr(md5('42:' || province || ':' || trial || ':{name}'), 1, 7) as bigint) as double)"
+            " / 268435456.0::double")
+
+
+def _rule_sql(name, rule):
+    u, kind = _unit_sql(name), rule[0]
+    if kind == "choice":
+        value = f"[{', '.join(repr(c) for c in rule[1])}][cast(floor({u} * {len(rule[1])}) as int) + 1]"
+    elif kind == "int":
+        value = f"cast(floor({u} * {rule[2] - rule[1] + 1}) as int) + {rule[1]}"
+    elif kind == "log":
+        value = f"round({float(rule[1])!r}::double * pow({float(rule[2])!r}::double / {float(rule[1])!r}::double, {u}), 9)"
+    else:
+        value = f"round({float(rule[1])!r}::double + {float(rule[2] - rule[1])!r}::double * ({u}), 9)"
+    held = rule[-1] if isinstance(rule[-1], tuple) else None
+    return f"case when {held[0]} = '{held[1]}' then {value} end AS {name}" if held else f"{value} AS {name}"
+
+
+def _space_sql(space):
+    rules = search.SEARCH_SPACES[space].items()
+    plain = ", ".join(_rule_sql(n, r) for n, r in rules if not isinstance(r[-1], tuple))
+    held = "".join(", " + _rule_sql(n, r) for n, r in rules if isinstance(r[-1], tuple))
+    return (f"keys AS (SELECT DISTINCT province FROM train WHERE province IS NOT NULL), drawn AS (SELECT province,"
+            f" trial, {plain} FROM keys, (SELECT cast(range as int) AS trial FROM range(50))) SELECT *{held} FROM drawn")
+
+
+def _space_query(space):
+    def run(spark, sf):
+        """Candidates for a model of each province."""
+        keys = train_rows(spark, sf, ["province"]).where("province IS NOT NULL").distinct()
+        table = search.trial_table(keys, space, 50, key="province")
+        return table.withColumns({c: F.round(c, 9) for c, kind in table.dtypes if kind == "double"})
+
+    return run
+
+
+for _space in search.SEARCH_SPACES:
+    query(f"i18_space_{_space}", _space_sql(_space))(_space_query(_space))
+
+
 @query("i19_diverse_member")
 def diverse_member(spark, sf):
     train, test = _tables(spark, sf)
-    return training.cv_train("lgbm_diverse", {"n_estimators": 5, "learning_rate": 0.2}, train, test).metrics_row().drop(
+    return training.cv_train("lgbm_diverse", {"learning_rate": 0.1, "patience": 20}, train, test, early_stop=True).metrics_row().drop(
         "train_time_sec")
 
 
@@ -174,7 +239,7 @@ def batch_scoring(spark, sf):
     """Train-fitted state applied to new rows: no refit, no training rows."""
     train, test = _tables(spark, sf)
     cols = training.numeric_columns(train)
-    model = training.fit_model(training.build_model("lr", {"max_iter": 20}), training.assemble(train, cols))
+    model = training.fit_model(training.build_model("lr"), training.assemble(train, cols))
     return training.score(model, training.assemble(test, cols, (ID_COL,)), [ID_COL])
 
 
@@ -197,10 +262,34 @@ def stacked(spark, sf):
     return stacking.stack(train, test, MODELS)[0]
 
 
-@query("j05_ridge_stacking")
+def _ridge_sql(models, alpha=1.0):
+    """Sums per fold, complements by subtraction, elimination column by column, mean of the learners."""
+    n = len(models)
+    sums = ["count(*) AS n", "sum(Target)::double AS y"]
+    sums += [f"sum({m}) AS x{i}" for i, m in enumerate(models)] + [f"sum({m} * Target) AS y{i}" for i, m in enumerate(models)]
+    sums += [f"sum({models[i]} * {models[j]}) AS x{i}_{j}" for i in range(n) for j in range(i, n)]
+    names = ["n", "y", *[f"x{i}" for i in range(n)], *[f"y{i}" for i in range(n)], *[f"x{i}_{j}" for i in range(n) for j in range(i, n)]]
+    rest = ", ".join(f"(sum({c}) OVER () - {c})::double AS {c}" for c in names)
+    first = [f"x{min(i, j)}_{max(i, j)} - x{i} * x{j} / n {f'+ {alpha}::double' if i == j else ''} AS a{i}_{j}" for i in range(n) for j in range(n)]
+    first += [f"y{i} - x{i} * y / n AS a{i}_{n}" for i in range(n)]
+    kept = ", ".join(["fold_id", "n", "y", *[f"x{i}" for i in range(n)]])
+    text = [f"sf AS (SELECT s.*, fold_id FROM scored s JOIN folds USING (ID)), m AS (SELECT fold_id, {', '.join(sums)} FROM sf GROUP BY 1),"
+            f" c AS (SELECT fold_id, {rest} FROM m), e0 AS (SELECT {kept}, {', '.join(first)} FROM c)"]
+    for k in range(n):
+        cells = [f"a{i}_{j} / a{k}_{k} AS a{i}_{j}" if i == k else f"a{i}_{j} - a{i}_{k} / a{k}_{k} * a{k}_{j} AS a{i}_{j}"
+                 for i in range(n) for j in range(n + 1)]
+        text.append(f"e{k + 1} AS (SELECT {kept}, {', '.join(cells)} FROM e{k})")
+    intercept = "y / n - " + " - ".join(f"a{i}_{n} * x{i} / n" for i in range(n))
+    text.append(f"b AS (SELECT avg({intercept}) AS b, {', '.join(f'avg(a{i}_{n}) AS b{i}' for i in range(n))} FROM e{n})")
+    scored = ", ".join(f"{SCORES[m]} AS {m}" for m in models)
+    text.append(f"ts AS (SELECT ID, {scored} FROM test)")
+    return ", ".join(text) + f" SELECT ID, round(b + {' + '.join(f'b{i} * {m}' for i, m in enumerate(models))}, 6) AS score FROM ts, b"
+
+
+@query("j05_ridge_stacking", _ridge_sql(MODELS))
 def ridge(spark, sf):
     train, test = _wide(spark, sf)
-    return stacking.ridge_stack(train, test, MODELS)[1]
+    return stacking.ridge_stack(train, test, MODELS)[1].withColumn("score", F.round("score", 6))
 
 
 @query("j09_ensemble_selection")
@@ -217,29 +306,41 @@ def platt(spark, sf):
     return stacking.platt(train.withColumn("score", F.col("s1")), test.withColumn("score", F.col("s1")))[0]
 
 
-@query("j11_isotonic_calibration")
+# the fitted value of a score is the largest, over starts up to it, of the least mean, over ends from it
+_ISOTONIC = f"""d AS (SELECT s3 AS x, sum(Target) AS y, count(*) AS n FROM scored GROUP BY 1),
+c AS (SELECT x, sum(y) OVER (ORDER BY x) AS cy, sum(n) OVER (ORDER BY x) AS cn, y, n FROM d),
+mean AS (SELECT a.x AS lo, b.x AS hi, (b.cy - a.cy + a.y)::double / (b.cn - a.cn + a.n) AS m FROM c a JOIN c b ON a.x <= b.x),
+least AS (SELECT mean.lo, d.x, min(m) AS m FROM mean JOIN d ON d.x BETWEEN mean.lo AND mean.hi GROUP BY 1, 2),
+f AS (SELECT x, max(m) AS f FROM least GROUP BY 1),
+ts AS (SELECT ID, {SCORES["s3"]} AS s FROM test),
+near AS (SELECT s, max(x) FILTER (x <= s) AS lo, min(x) FILTER (x >= s) AS hi FROM (SELECT DISTINCT s FROM ts), f GROUP BY 1)
+SELECT ID, round(case when lo IS NULL then h.f when hi IS NULL or lo = hi then l.f
+  else l.f + (h.f - l.f) * (near.s - lo) / (hi - lo) end, 6) AS score
+FROM ts JOIN near USING (s) LEFT JOIN f l ON l.x = lo LEFT JOIN f h ON h.x = hi"""
+
+
+@query("j11_isotonic_calibration", _ISOTONIC)
 def isotonic(spark, sf):
     train, test = _wide(spark, sf)
-    return stacking.isotonic(train.withColumn("score", F.col("s3")), test.withColumn("score", F.col("s3")))[1]
+    return stacking.isotonic(train.withColumn("score", F.col("s3")), test.withColumn("score", F.col("s3")))[1].withColumn(
+        "score", F.round("score", 6))
 
 
 # --- whole runs --------------------------------------------------------------
 
 @query("l01_prepare")
 def prepare(spark, sf):
-    train = train_rows(spark, sf, RAW)
-    test = test_rows(spark, sf, [c for c in RAW if c != "Target"])
+    train = train_rows(spark, sf)
+    test = test_rows(spark, sf).drop(TARGET_COL)
     data = runs.prepare(train, test, runs.RunOptions(), ["v3_target_woe"])
     return data.variants["v3_target_woe"][0]
 
 
 @query("l02_full_run")
 def full_run(spark, sf):
-    train = train_rows(spark, sf, RAW)
-    test = test_rows(spark, sf, [c for c in RAW if c != "Target"])
-    options = runs.RunOptions(
-        models=[("lr", "v2_ordinal", {"max_iter": 20}), ("xgb", "v2_ordinal", SMALL_TREES)],
-        n_folds=3, blend_trials=10, engineer={"ranks": False})
+    train = train_rows(spark, sf)
+    test = test_rows(spark, sf).drop(TARGET_COL)
+    options = runs.RunOptions(models=[("lgbm", "v2_ordinal", MANY), ("xgb", "v2_ordinal", FIXED)], early_stop=True)
     return runs.run(train, test, test.select(ID_COL), options).ensemble_metrics
 
 
