@@ -162,46 +162,106 @@ def within_fold(spark, sf):
     return out
 
 
+# categories of the engineered features, those with few values, and the rank features
+FE_CATS = ["product_code", "payment_frequency", "loan_purpose", "client_gender", "marital_status", "employment_sector", "collateral_type",
+           "disbursement_channel", "province", "province_sector", "product_purpose", "channel_province"]
+FE_LOW = [c for c in FE_CATS if c not in ("province_sector", "product_purpose")]
+FE_RANKS = [("amount_rank_in_product", "amount_usd", "product_code"), ("income_rank_in_province", "monthly_income_usd", "province")]
+
+
 def _variant(spark, sf, name, **options):
     return _variants(spark, sf, [name], **options)[name]
 
 
 def _variants(spark, sf, names, **options):
-    cols = ["ID", "Target", "amount_usd", "annual_rate_pct", "monthly_income_usd", "term_months",
-            "product_code", "province", "employment_sector", "collateral_type"]
-    train = materialize(train_rows(spark, sf, cols))
-    test = test_rows(spark, sf, [c for c in cols if c != "Target"])
-    return build_all_variants(train, test, folds.make_folds(train), names,
-                              engineer=BaseFeatureEngineer(ranks=False), **options)
+    """Variants of all raw columns, rank features included."""
+    train = materialize(train_rows(spark, sf))
+    test = test_rows(spark, sf).drop("Target")
+    return build_all_variants(train, test, folds.make_folds(train), names, engineer=BaseFeatureEngineer(), **options)
 
 
-@query("d09_one_hot_variant")
-def one_hot_variant(spark, sf):
-    return _variant(spark, sf, "v1_ohe")[1]
+def _halves(pair, cols):
+    """Asked columns of both halves: (ID, part, columns, ranks)."""
+    ranks = [F.round(n, 8).alias(n) for n, _, _ in FE_RANKS]
+    one, two = (df.select("ID", F.lit(part).alias("part"), *cols, *ranks) for df, part in zip(pair, ("train", "test"), strict=True))
+    return one.unionByName(two)
 
 
 _IMPUTED = ("fcc AS (" + " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, {c} AS category, count(*) AS n, sum(Target) AS pos FROM fe"
-    f" WHERE is_test = 0 GROUP BY 2"
-    for c in ["product_code", "province", "employment_sector", "collateral_type", "province_sector"]) + ")")
+    f" WHERE is_test = 0 GROUP BY 2" for c in FE_CATS) + ")")
+# ranks are taken among the rows of a half
+_RANKED = "fr AS (SELECT *, case when is_test = 0 then 'train' else 'test' end AS part, " + ", ".join(
+    f"round((rank() OVER (PARTITION BY is_test, {g} ORDER BY {v}) + (count(*) OVER (PARTITION BY is_test, {g}, {v}) - 1) / 2.0::double)"
+    f" / count(*) OVER (PARTITION BY is_test, {g}), 8) AS {n}" for n, v, g in FE_RANKS) + " FROM fe)"
+_RANK_NAMES = ", ".join(n for n, _, _ in FE_RANKS)
 
 
-@query("d10_ordinal_variant", f"{_IMPUTED}, maps AS (SELECT *, cast(row_number() OVER (PARTITION BY"
-       " column_name ORDER BY category) - 1 as double) AS v FROM fcc), ft AS (SELECT * FROM fe WHERE is_test = 1) "
-       + _lookup_sql({"v": ("{}", "-1.0::double")}, source="ft",
-                     out=["product_code", "province", "employment_sector", "province_sector"]))
-def ordinal_variant(spark, sf):
-    test = _variant(spark, sf, "v2_ordinal")[1]
-    return test.select("ID", "product_code", "province", "employment_sector", "province_sector")
+def _hot_columns(df, kept):
+    """Names of the hot columns of a row, sorted and joined."""
+    hot = [c for c in df.columns if c not in kept]
+    names = F.array(*[F.when(F.col(f"`{c}`") == 1, F.lit(c)) for c in hot])
+    return F.array_join(F.array_sort(F.filter(names, lambda n: n.isNotNull())), "|").alias("hot")
+
+
+_HOT = ("array_to_string(list_sort(list_filter([" + ", ".join(
+    f"case when {c} IN (SELECT category FROM fcc WHERE column_name = '{c}') then '{c}_' || {c} end" for c in FE_CATS)
+    + "], lambda x: x IS NOT NULL)), '|')")
+
+
+@query("d09_one_hot_variant", f"{_IMPUTED}, {_RANKED} SELECT ID, part, {_HOT} AS hot, {_RANK_NAMES} FROM fr")
+def one_hot_variant(spark, sf):
+    made = _variants(spark, sf, ["v1_ohe", "v2_ordinal"])
+    return _halves(made["v1_ohe"], [_hot_columns(made["v1_ohe"][1], set(made["v2_ordinal"][0].columns))])
+
+
+_CODES = "maps AS (SELECT *, cast(row_number() OVER (PARTITION BY column_name ORDER BY category) - 1 as double) AS v FROM fcc)"
 
 
-@query("d11_target_woe_variant", f"{_IMPUTED}, g AS (SELECT count(*) AS all_n, sum(Target) AS all_pos FROM train),"
-       f" maps AS (SELECT *, {_MEAN} AS v, {_WOE} AS w FROM fcc, g), ft AS (SELECT * FROM fe WHERE is_test = 1) "
-       + _lookup_sql({"v": ("{}", _RATE), "w": ("{}_woe", "0.0::double")}, source="ft",
-                     out=["province", "employment_sector"]))
+def _codes_sql():
+    picks = ", ".join(f"coalesce(m{i}.v, -1.0::double) AS {c}" for i, c in enumerate(FE_CATS))
+    found = " ".join(f"LEFT JOIN maps m{i} ON m{i}.column_name = '{c}' AND m{i}.category = t.{c}" for i, c in enumerate(FE_CATS))
+    return f"SELECT t.ID, t.part, {picks}, {', '.join(f't.{n}' for n, _, _ in FE_RANKS)} FROM fr t {found}"
+
+
+@query("d10_ordinal_variant", f"{_IMPUTED}, {_RANKED}, {_CODES} {_codes_sql()}")
+def ordinal_variant(spark, sf):
+    return _halves(_variant(spark, sf, "v2_ordinal"), FE_CATS)
+
+
+_FOLD_COUNTS = " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, {c} AS category, fold_id, count(*) AS n, sum(fe.Target) AS pos FROM fe JOIN folds USING (ID) GROUP BY 2, 3"
+    for c in FE_CATS)
+# statistics of all training rows (fold -1) and outside each fold
+_OUTSIDE = (f"ffc AS ({_FOLD_COUNTS}),"
+            " tot AS (SELECT fold_id, count(*) AS n, sum(Target) AS pos FROM train JOIN folds USING (ID) GROUP BY 1),"
+            " rest AS (SELECT k.fold_id, sum(o.n) AS all_n, sum(o.pos) AS all_pos FROM tot k JOIN tot o ON o.fold_id <> k.fold_id GROUP BY 1"
+            " UNION ALL SELECT -1, sum(n), sum(pos) FROM tot),"
+            " oc AS (SELECT k.fold_id, column_name, category, sum(f.n) AS n, sum(f.pos) AS pos FROM tot k JOIN ffc f ON f.fold_id <> k.fold_id"
+            " GROUP BY 1, 2, 3 UNION ALL SELECT -1, column_name, category, sum(n), sum(pos) FROM ffc GROUP BY 2, 3),"
+            f" maps AS (SELECT *, {_MEAN} AS v, {_WOE} AS w, pos::double / n AS r FROM oc JOIN rest USING (fold_id)),"
+            " fk AS (SELECT fr.*, coalesce(folds.fold_id, -1) AS k FROM fr LEFT JOIN folds USING (ID))")
+
+
+def _target_sql():
+    picks, found = [], []
+    for i, c in enumerate(FE_CATS):
+        picks.append(f"round(coalesce(m{i}.v, p.all_pos::double / p.all_n), 8) AS {c}")
+        if c in FE_LOW:
+            picks.append(f"round(coalesce(m{i}.w, 0.0::double), 8) AS {c}_woe")
+        if c in ("province", "employment_sector"):
+            picks.append(f"round(m{i}.r, 8) AS {c}_default_rate, cast(m{i}.n as bigint) AS {c}_loan_count")
+        found.append(f"LEFT JOIN maps m{i} ON m{i}.column_name = '{c}' AND m{i}.category = t.{c} AND m{i}.fold_id = t.k")
+    ranks = ", ".join(f"t.{n}" for n, _, _ in FE_RANKS)
+    return f"SELECT t.ID, t.part, {', '.join(picks)}, {ranks} FROM fk t JOIN rest p ON p.fold_id = t.k {' '.join(found)}"
+
+
+@query("d11_target_woe_variant", f"{_RANKED}, {_OUTSIDE} {_target_sql()}")
 def target_woe_variant(spark, sf):
-    test = _variant(spark, sf, "v3_target_woe")[1]
-    return _rounded(test, ["province", "province_woe", "employment_sector", "employment_sector_woe"])
+    """Training rows see the other folds only, test rows all training rows."""
+    rounded = [*FE_CATS, *[f"{c}_woe" for c in FE_LOW], *[f"{c}_default_rate" for c in ("province", "employment_sector")]]
+    counted = [F.col(f"{c}_loan_count").cast("long").alias(f"{c}_loan_count") for c in ("province", "employment_sector")]
+    return _halves(_variant(spark, sf, "v3_target_woe"), [*[F.round(c, 8).alias(c) for c in rounded], *counted])
 
 
 _LEAKY = f"""{_IMPUTED}, g AS (SELECT count(*) AS all_n, sum(Target) AS all_pos FROM train),
@@ -220,15 +280,26 @@ def full_fit_variant(spark, sf):
                         "province_loan_count")
 
 
-@query("d12_all_variants")
+@query("d12_all_variants", f"{_IMPUTED}, {_RANKED}, codes AS (SELECT column_name, category,"
+       f" cast(row_number() OVER (PARTITION BY column_name ORDER BY category) - 1 as double) AS v FROM fcc), {_OUTSIDE},"
+       f" a AS (SELECT ID, 'v1_ohe' AS variant, part, {_HOT} AS encoded, {_RANK_NAMES} FROM fr),"
+       f" b AS (SELECT ID, 'v2_ordinal' AS variant, part, cast(cast(coalesce(v, -1) as int) as varchar) AS encoded, {_RANK_NAMES}"
+       " FROM fr LEFT JOIN codes ON column_name = 'province_sector' AND category = province_sector),"
+       f" c AS (SELECT ID, 'v3_target_woe' AS variant, part, cast(cast(round(coalesce(v, p.all_pos::double / p.all_n) * 1000000) as int)"
+       f" as varchar) AS encoded, {_RANK_NAMES} FROM fk JOIN rest p ON p.fold_id = k LEFT JOIN maps ON maps.column_name = 'province_sector'"
+       " AND maps.category = province_sector AND maps.fold_id = k)"
+       " SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT * FROM c")
 def all_variants(spark, sf):
+    """All rows of both halves of the three variants, with what each makes of the categories."""
+    made = _variants(spark, sf, ["v1_ohe", "v2_ordinal", "v3_target_woe"])
+    encoded = {
+        "v1_ohe": _hot_columns(made["v1_ohe"][1], set(made["v2_ordinal"][0].columns)).alias("encoded"),
+        "v2_ordinal": F.col("province_sector").cast("int").cast("string").alias("encoded"),
+        "v3_target_woe": F.round(F.col("province_sector") * 1000000).cast("int").cast("string").alias("encoded")}
     out = None
-    for name, (train, test) in _variants(spark, sf, ["v1_ohe", "v2_ordinal", "v3_target_woe"]).items():
-        for part, df in (("train", train), ("test", test)):
-            one = df.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("ID").alias("n_ids")).select(
-                F.lit(name).alias("variant"), F.lit(part).alias("part"),
-                F.lit(len(df.columns)).alias("n_columns"), "n", "n_ids")
-            out = one if out is None else out.unionByName(one)
+    for name, pair in made.items():
+        one = _halves(pair, [F.lit(name).alias("variant"), encoded[name]])
+        out = one if out is None else out.unionByName(one)
     return out
 
 

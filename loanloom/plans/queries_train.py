@@ -19,7 +19,7 @@ from loanloom.plans.loanview import SCORES, scored_rows, test_rows, train_rows
 from loanloom.schema import ID_COL, NUMERIC_COLS, TARGET_COL
 from loanloom.session import materialize
 
-MANY = {"n_estimators": 1000, "num_leaves": 31, "learning_rate": 0.1, "patience": 20}
+MANY = {"n_estimators": 1000, "num_leaves": 31, "learning_rate": 0.15, "patience": 10}
 FIXED = {"n_estimators": 60, "max_depth": 6, "learning_rate": 0.1}
 
 
@@ -47,7 +47,7 @@ def _holdout_metrics(name, params):
 
 
 query("i01_logistic_regression")(_holdout_metrics("lr", {}))
-query("i03_random_forest")(_holdout_metrics("rf", {"max_depth": 12}))
+query("i03_random_forest")(_holdout_metrics("rf", {"n_estimators": 100, "max_depth": 12}))
 query("i04_extra_trees")(_holdout_metrics("extra_trees", {"n_estimators": 100, "max_depth": 10}))
 query("i05_gradient_boosting")(_holdout_metrics("xgb", {"n_estimators": 150, "max_depth": 6, "learning_rate": 0.1}))
 query("i07_early_stopping")(_holdout_metrics("lgbm", {**MANY, "learning_rate": 0.02, "patience": 50}))
@@ -117,7 +117,7 @@ def train_models(spark, sf):
 @query("i13_multi_seed")
 def multi_seed(spark, sf):
     train, test = _tables(spark, sf)
-    oof, _, _ = training.multi_seed("catboost", {"n_estimators": 30, "depth": 5, "learning_rate": 0.2, "subsample": 0.7}, train, test,
+    oof, _, _ = training.multi_seed("catboost", {"n_estimators": 15, "depth": 5, "learning_rate": 0.3, "subsample": 0.7}, train, test,
                                     range(10))
     return oof
 
@@ -230,7 +230,7 @@ for _space in search.SEARCH_SPACES:
 @query("i19_diverse_member")
 def diverse_member(spark, sf):
     train, test = _tables(spark, sf)
-    return training.cv_train("lgbm_diverse", {"learning_rate": 0.1, "patience": 20}, train, test, early_stop=True).metrics_row().drop(
+    return training.cv_train("lgbm_diverse", {"learning_rate": 0.15, "patience": 10}, train, test, early_stop=True).metrics_row().drop(
         "train_time_sec")
 
 
