@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanloom.functions import loan
 from loanloom.operators.catstats import category_counts
 from loanloom.operators.encoders import FrequencyEncoder
-from loanloom.operators.ordered import medians, percent_rank_in_group
+from loanloom.operators.joins import lookup
+from loanloom.operators.ordered import average_ranks, medians, percent_rank_in_group
 from loanloom.schema import (CATEGORICAL_COLS, DATE_COLS, ID_COL, NATIVE_NULL_TEXT, NUMERIC_COLS,
                              TARGET_COL, UNKNOWN)
+from loanloom.session import materialize
 
 
 def modes(df: DataFrame, cols: Sequence[str]) -> dict[str, str]:
@@ -38,6 +40,46 @@ def numeric_columns(df: DataFrame, id_col: str = ID_COL, label: str = TARGET_COL
             if (k in kinds or k.startswith("decimal")) and c not in (id_col, label, *exclude)]
 
 
+#: Knots of a fitted rank are at most two per part of this many; the error on training values is at most one part.
+RANK_PARTS = 1024
+
+
+def fitted_ranks(train: DataFrame, value: str, group: str, parts: int = RANK_PARTS) -> DataFrame:
+    """(group, xs, ys, n): per group the percentile rank of training rows as knots of a line, and the group's rows.
+
+    Values are cut into ``parts`` of equal rank; the least and the largest value
+    of each part are knots. Between two parts there is no training value, within
+    a part ranks differ by at most 1 / ``parts``, and a value with many rows is
+    a knot itself. So the line misses the exact average-tie rank of a training
+    value by at most 1 / ``parts``.
+    """
+    ranked = average_ranks(train.select(group, F.col(value).cast("double").alias("_v")), "_v", [group])
+    pct = F.col("avg_rank") / F.col("group_n")
+    ends = ranked.groupBy(group, F.floor(pct * parts).alias("_part")).agg(
+        F.min(F.struct("_v", pct)).alias("a"), F.max(F.struct("_v", pct)).alias("b"), F.max("group_n").alias("n"))
+    knots = ends.select(group, "n", F.explode(F.array_distinct(F.array(
+        F.struct(F.col("a")["_v"].alias("x"), F.col("a")["col2"].alias("y")),
+        F.struct(F.col("b")["_v"].alias("x"), F.col("b")["col2"].alias("y"))))).alias("k"))
+    lists = knots.groupBy(group).agg(F.sort_array(F.collect_list("k")).alias("k"), F.max("n").alias("n"))
+    return lists.select(group, F.col("k.x").alias("xs"), F.col("k.y").alias("ys"), "n")
+
+
+def interpolated(value: Column, xs: Column, ys: Column, most: int = 2 * RANK_PARTS + 2) -> Column:
+    """The line through the knots at ``value``, flat outside them; by binary search in JVM expressions."""
+    n = F.size(xs)
+    jumps = F.array(*[F.lit(1 << b) for b in reversed(range(most.bit_length()))])
+
+    def step(at, jump):
+        fits = (at + jump <= n) & (F.element_at(xs, F.least(at + jump, n)) <= value)
+        return F.when(fits, at + jump).otherwise(at)
+
+    at = F.aggregate(jumps, F.lit(0), step)
+    low, high = F.greatest(at, F.lit(1)), F.least(at + 1, n)
+    x0, x1, y0, y1 = (F.element_at(c, i) for c in (xs, ys) for i in (low, high))
+    line = F.when((at == 0) | (low == high) | (x0 == x1), y0).otherwise(y0 + (y1 - y0) * (value - x0) / (x1 - x0))
+    return F.when(value.isNotNull() & xs.isNotNull(), line)
+
+
 def feature_columns(df: DataFrame, id_col: str = ID_COL, label: str = TARGET_COL) -> list[str]:
     return [c for c in df.columns if c not in (id_col, label)]
 
@@ -45,13 +87,15 @@ def feature_columns(df: DataFrame, id_col: str = ID_COL, label: str = TARGET_COL
 class BaseFeatureEngineer:
     """Learns medians and modes from training rows; transforms any rows.
 
-    ``transform`` is one lazy projection plus one ranking per rank feature.
+    ``transform`` is one lazy projection plus one ranking per rank feature. With
+    ``ranks="fitted"`` ranks are those among the training rows, read from a
+    fitted table: the same for a row in any batch or stream.
     """
 
     RANKS = (("amount_rank_in_product", "amount_usd", "product_code"),
              ("income_rank_in_province", "monthly_income_usd", "province"))
 
-    def __init__(self, approximate: bool = False, ranks: bool = True,
+    def __init__(self, approximate: bool = False, ranks: bool | str = True,
                  numeric_cols: Sequence[str] | None = None,
                  categorical_cols: Sequence[str] | None = None) -> None:
         self.approximate = approximate
@@ -60,6 +104,7 @@ class BaseFeatureEngineer:
         self.categorical_cols = list(categorical_cols or CATEGORICAL_COLS)
         self.numeric_medians: dict[str, float] = {}
         self.cat_modes: dict[str, str] = {}
+        self.rank_tables: dict[str, tuple[DataFrame, int]] = {}
         self.fitted = False
 
     def fit(self, train: DataFrame) -> BaseFeatureEngineer:
@@ -71,6 +116,12 @@ class BaseFeatureEngineer:
         if categories:
             self.cat_modes = modes(train, categories)
         self.fitted = True
+        if self.ranks == "fitted":
+            filled = self.impute(train)
+            for name, value, group in self.RANKS:
+                if value in train.columns and group in train.columns:
+                    table = materialize(fitted_ranks(filled, value, group))
+                    self.rank_tables[name] = table, table.count()
         return self
 
     def impute(self, df: DataFrame) -> DataFrame:
@@ -89,7 +140,13 @@ class BaseFeatureEngineer:
         """Percentile ranks within the rows passed in, all read from ``df`` itself."""
         out = df
         for name, value, group in self.RANKS:
-            if value in df.columns and group in df.columns:
+            if name in self.rank_tables and value in df.columns and group in df.columns:
+                table, rows = self.rank_tables[name]
+                # a group's knots count as so many rows of the lookup table
+                found = lookup(out, table, [group], rows * 64, "n")
+                out = found.select(*df.columns, *[c for c in out.columns if c not in df.columns],
+                                   interpolated(F.col(value).cast("double"), F.col("xs"), F.col("ys")).alias(name))
+            elif value in df.columns and group in df.columns:
                 out = percent_rank_in_group(out, value, [group], name, source=df)
         return out
 

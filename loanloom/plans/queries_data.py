@@ -10,7 +10,8 @@ from loanloom.operators.features import (BaseFeatureEngineer, add_extra_features
                                          native_categories)
 from loanloom.operators.metrics import roc_auc
 from loanloom.operators.ordered import medians, percent_rank_in_group
-from loanloom.operators.features import modes
+from loanloom.operators.features import fitted_ranks, interpolated, modes
+from loanloom.operators.joins import lookup
 from loanloom.plans.catalog import query
 from loanloom.plans.loanview import loan_view, scored_rows, test_rows, train_rows
 from loanloom.schema import CATEGORICAL_COLS, DATE_COLS, ID_COL, MISSING_FLAG_COLS, NUMERIC_COLS
@@ -348,6 +349,27 @@ def amount_rank(spark, sf):
         "ID", "amount_rank_in_product")
 
 
+_FITTED_RANK = """
+d AS (SELECT product_code AS g, amount_usd AS x, count(*) AS n FROM train GROUP BY 1, 2),
+r AS (SELECT g, x, (sum(n) OVER (PARTITION BY g ORDER BY x) - n + (n + 1) / 2.0::double) / sum(n) OVER (PARTITION BY g) AS y FROM d)
+SELECT t.ID, round(case when lo.x IS NULL then hi.y when hi.x IS NULL or lo.x = t.amount_usd then lo.y
+  else lo.y + (hi.y - lo.y) * (t.amount_usd - lo.x) / (hi.x - lo.x) end, 7) AS amount_rank_in_product
+FROM test t ASOF LEFT JOIN r lo ON t.product_code = lo.g AND t.amount_usd >= lo.x
+  ASOF LEFT JOIN r hi ON t.product_code = hi.g AND t.amount_usd < hi.x"""
+
+
+@query("c28_fitted_rank", _FITTED_RANK)
+def fitted_rank(spark, sf):
+    """Rank of unlabelled rows among the training rows, from a table fine enough to be exact."""
+    train = train_rows(spark, sf, ["amount_usd", "product_code"])
+    test = test_rows(spark, sf, ["ID", "amount_usd", "product_code"])
+    parts = 1 << 20
+    table = materialize(fitted_ranks(train, "amount_usd", "product_code", parts))
+    found = lookup(test, table, ["product_code"], table.count(), "n")
+    rank = interpolated(F.col("amount_usd").cast("double"), F.col("xs"), F.col("ys"), 2 * parts)
+    return found.select("ID", F.round(rank, 7).alias("amount_rank_in_product"))
+
+
 @query("c29_income_rank", _rank_sql("monthly_income_usd", "province", "income_rank_in_province"))
 def income_rank(spark, sf):
     t = train_rows(spark, sf, ["ID", "monthly_income_usd", "province"])
