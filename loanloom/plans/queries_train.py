@@ -32,6 +32,17 @@ def _tables(spark, sf):
     return tr, materialize(eng.transform(test.drop(TARGET_COL)))
 
 
+_SHARED: dict[tuple[str, str], tuple] = {}
+
+
+def _shared_tables(spark, sf):
+    """The same tables, written once for all queries of an application."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _SHARED:
+        _SHARED[key] = _tables(spark, sf)
+    return _SHARED[key]
+
+
 def _holdout_metrics(name, params):
     def run(spark, sf):
         train = materialize(train_rows(spark, sf, ["ID", "Target", *NUMERIC_COLS]))
@@ -56,7 +67,7 @@ query("i08_perceptron")(_holdout_metrics("mlp", {}))
 
 @query("c33_feature_matrix")
 def feature_matrix(spark, sf):
-    train, _ = _tables(spark, sf)
+    train, _ = _shared_tables(spark, sf)
     cols = training.numeric_columns(train)
     from pyspark.ml.functions import vector_to_array
 
@@ -90,13 +101,13 @@ def cv_train(spark, sf):
 
 @query("i10_cv_test_scores")
 def cv_test_scores(spark, sf):
-    train, test = _tables(spark, sf)
+    train, test = _shared_tables(spark, sf)
     return training.cv_train("lr", {}, train, test, variant="base").test
 
 
 @query("i11_cv_within_fold_encoding")
 def cv_within_fold(spark, sf):
-    train, test = _tables(spark, sf)
+    train, test = _shared_tables(spark, sf)
     result = training.cv_train_encoded("xgb", {**FIXED, "n_estimators": 40}, train, test,
                                        ["province", "employment_sector", "province_sector"])
     return result.metrics_row().drop("train_time_sec")
@@ -104,7 +115,7 @@ def cv_within_fold(spark, sf):
 
 @query("i12_train_models")
 def train_models(spark, sf):
-    train, test = _tables(spark, sf)
+    train, test = _shared_tables(spark, sf)
     done = training.train_models(
         [("lr", "base", {}), ("xgb", "base", FIXED), ("rf", "absent", {})],
         {"base": (train, test)})
@@ -116,7 +127,7 @@ def train_models(spark, sf):
 
 @query("i13_multi_seed")
 def multi_seed(spark, sf):
-    train, test = _tables(spark, sf)
+    train, test = _shared_tables(spark, sf)
     oof, _, _ = training.multi_seed("catboost", {"n_estimators": 15, "depth": 5, "learning_rate": 0.3, "subsample": 0.7}, train, test,
                                     range(10))
     return oof
@@ -124,7 +135,7 @@ def multi_seed(spark, sf):
 
 @query("i14_feature_importance")
 def feature_importance(spark, sf):
-    train, _ = _tables(spark, sf)
+    train, _ = _shared_tables(spark, sf)
     cols = training.numeric_columns(train)
     model = training.fit_model(training.build_model("lgbm", MANY), training.assemble(train, cols), early_stop=True)
     return training.feature_importances(model, cols)
@@ -132,7 +143,7 @@ def feature_importance(spark, sf):
 
 @query("g05_top_features")
 def top_features(spark, sf):
-    train, _ = _tables(spark, sf)
+    train, _ = _shared_tables(spark, sf)
     cols = training.numeric_columns(train)
     model = training.fit_model(training.build_model("rf", {"n_estimators": 100, "max_depth": 10}),
                                training.assemble(train, cols))
@@ -141,7 +152,7 @@ def top_features(spark, sf):
 
 @query("i15_permutation_importance")
 def permutation(spark, sf):
-    train, _ = _tables(spark, sf)
+    train, _ = _shared_tables(spark, sf)
     cols = training.numeric_columns(train)
     model = training.fit_model(training.build_model("lgbm", MANY), training.assemble(train, cols), early_stop=True)
     return training.permutation_importance(model, train, cols)
@@ -150,7 +161,7 @@ def permutation(spark, sf):
 @query("i15_row_attribution")
 def attribution_rows(spark, sf):
     """Exact Shapley values of every unlabelled row: base plus the contributions is the margin."""
-    train, test = _tables(spark, sf)
+    train, test = _shared_tables(spark, sf)
     cols = training.numeric_columns(train)
     model = training.fit_model(training.build_model("lgbm", MANY), training.assemble(train, cols), early_stop=True)
     return attribution.explain(model.stages[0], training.assemble(test, cols, (ID_COL,)))
@@ -158,7 +169,7 @@ def attribution_rows(spark, sf):
 
 @query("i15_mean_attribution")
 def attribution_means(spark, sf):
-    train, _ = _tables(spark, sf)
+    train, _ = _shared_tables(spark, sf)
     cols = training.numeric_columns(train)
     rows = materialize(training.assemble(train, cols))
     model = training.fit_model(training.build_model("lgbm", MANY), rows, early_stop=True)
@@ -167,20 +178,20 @@ def attribution_means(spark, sf):
 
 @query("i16_adversarial_validation")
 def adversarial(spark, sf):
-    train, test = _tables(spark, sf)
+    train, test = _shared_tables(spark, sf)
     return training.adversarial_validation(train.drop("fold_id"), test, 5, params={"n_estimators": 50})
 
 
 @query("i17_random_search")
 def random_search(spark, sf):
-    train, _ = _tables(spark, sf)
+    train, _ = _shared_tables(spark, sf)
     _, table = training.tune_model("xgb", train, 4, fixed={"n_estimators": 20})
     return table
 
 
 @query("i17_adaptive_search")
 def adaptive_search(spark, sf):
-    train, _ = _tables(spark, sf)
+    train, _ = _shared_tables(spark, sf)
     space = {k: v for k, v in search.SEARCH_SPACES["lgbm"].items() if k != "n_estimators"}
     _, table = training.adaptive_search("lgbm", train, 8, space=space, fixed={"n_estimators": 20}, batch=4)
     return table
@@ -229,7 +240,7 @@ for _space in search.SEARCH_SPACES:
 
 @query("i19_diverse_member")
 def diverse_member(spark, sf):
-    train, test = _tables(spark, sf)
+    train, test = _shared_tables(spark, sf)
     return training.cv_train("lgbm_diverse", {"learning_rate": 0.15, "patience": 10}, train, test, early_stop=True).metrics_row().drop(
         "train_time_sec")
 
@@ -237,7 +248,7 @@ def diverse_member(spark, sf):
 @query("i20_batch_scoring")
 def batch_scoring(spark, sf):
     """Train-fitted state applied to new rows: no refit, no training rows."""
-    train, test = _tables(spark, sf)
+    train, test = _shared_tables(spark, sf)
     cols = training.numeric_columns(train)
     model = training.fit_model(training.build_model("lr"), training.assemble(train, cols))
     return training.score(model, training.assemble(test, cols, (ID_COL,)), [ID_COL])
