@@ -10,10 +10,14 @@ first. Two sets that reach the threshold share a shingle among their first
   skips what is left of unrelated partners. Both bounds are safe.
   Lists of very frequent shingles are dealt into blocks by a hash of the
   document; each pair of blocks is a list of its own, so no task gets them whole.
-* Answer level. First only the nearest plausible partner of each entry is
-  verified. A set then takes over the component of the set it is similar to:
-  in the second pass of the long lists all partners inside that component count
-  as answered, and only partners outside of it are verified.
+* Answer level. A set takes over the component of the set it is similar to:
+  all partners inside that component count as answered, and only partners
+  outside of it are looked at later. A pass over the long lists takes a bounded
+  number of plausible partners of each entry; of many pairs the closest of each
+  set are verified first. Lists in which an entry had more partners go through
+  another pass that knows the components so far and takes ``MORE_PARTNERS``
+  times as many, until no entry has any left: a group of m similar sets costs
+  pairs in proportion to m where its sets do link, and no pair is left out.
 
 The order of shingles comes from a sketch of counts of fixed size. It decides
 how long lists are, never what is found.
@@ -36,8 +40,12 @@ from loanloom.llm.tables import attach, drop_ids, materialize, partitions, texts
 CELL_BITS = 20
 #: Cells in a row of partial counts.
 CELL_RUN = 4096
-#: Lists of up to this many entries are joined at once; longer ones go through both passes.
+#: Lists of up to this many entries are joined at once; longer ones may take several passes.
 SHORT_LIST = 8
+#: Partners of an entry of a long list that a pass takes, as a multiple of those of the pass before (1 at first).
+MORE_PARTNERS = 8
+#: Rounds of a pass that verify only the closest partner of each set, while there are many pairs.
+CLOSEST_ROUNDS = 2
 #: Entries a list is meant to hold; longer ones are dealt into blocks, and every two blocks meet in a list of their own.
 LIST_ROWS = 1000
 _POP = np.array([bin(i).count("1") for i in range(1 << 16)], np.uint8)
@@ -151,18 +159,28 @@ PAIR_ROWS = "a long, b long, tok long, size int, pos int, sketch binary, side in
 
 
 class _Lists:
-    """Streams entries sorted by (tok, size, doc_id) and joins each list with itself."""
+    """Streams entries sorted by (tok, size, doc_id) and joins each list with itself.
 
-    def __init__(self, num: int, den: int, labelled: bool):
-        self.num, self.den, self.labelled = num, den, labelled
+    An entry of a long list takes up to ``limit`` later partners; lists in which
+    that cut one short come out again, whole, as rows without b.
+    """
+
+    def __init__(self, num: int, den: int, labelled: bool, limit: int = 1):
+        self.num, self.den, self.labelled, self.limit = num, den, labelled, limit
 
-    def _join(self, tok, doc, size, pos, sketch, side, label) -> Iterator[tuple[np.ndarray, ...]]:
-        """Index pairs (i, j), i before j, that no bound rules out, and their sketch distances."""
+    def _join(self, tok, doc, size, pos, sketch, side, label, cut) -> Iterator[tuple[np.ndarray, ...]]:
+        """Index pairs (i, j), i before j, that no bound rules out, and their sketch distances; sets ``cut``."""
         n = len(tok)
         last = np.searchsorted(tok, tok, "right")            # end of the own list
-        length = last - np.searchsorted(tok, tok, "left")
-        at = np.arange(n)[length > 1]
-        near = length > SHORT_LIST if not self.labelled else np.zeros(n, bool)
+        begin = np.searchsorted(tok, tok, "left")
+        length = last - begin
+        open_list = length > 1
+        if self.labelled:  # lists inside one component are answered
+            heads = np.flatnonzero(begin == np.arange(n))
+            mixed = np.minimum.reduceat(label, heads) != np.maximum.reduceat(label, heads)
+            open_list &= np.repeat(mixed, np.diff(np.append(heads, n)))
+        at = np.flatnonzero(open_list)
+        long_, taken = length > SHORT_LIST, np.zeros(n, np.int64)
         step = 0
         while len(at):
             step += 1
@@ -180,14 +198,16 @@ class _Lists:
             apart = _POP[sketch[i2] ^ sketch[j2]].sum(axis=1, dtype=np.int64)
             fit = apart <= size[i2] + size[j2] - 2 * need
             yield i2[fit], j2[fit], apart[fit]
-            # in a long list the first pass stops at an entry's nearest plausible partner
-            done = i2[fit][near[i2[fit]]]
-            if len(done):
-                at = at[~np.isin(at, done)]
+            # an entry has one partner a step, so no index is twice in i2
+            taken[i2[fit]] += 1
+            stop = long_[at] & (taken[at] >= self.limit)
+            cut[at[stop & (at + step + 1 < last[at])]] = True
+            at = at[~stop]
 
     def _rows(self, tok, doc, size, pos, sketch, side, label) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
-        for i, j, apart in self._join(tok, doc, size, pos, sketch, side, label):
+        cut = np.zeros(len(tok), bool)
+        for i, j, apart in self._join(tok, doc, size, pos, sketch, side, label, cut):
             new = {(min(x, y), max(x, y), d) for x, y, d in zip(doc[i].tolist(), doc[j].tolist(), apart.tolist(),
                                                                 strict=True) if x != y} - seen
             if not new:
@@ -200,14 +220,12 @@ class _Lists:
                 [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.nulls(none, pa.int64()),
                  pa.array(d, pa.int32()), pa.nulls(none, pa.int32()), pa.nulls(none, pa.binary()),
                  pa.nulls(none, pa.int32())], schema=PAIRS)
-        if not self.labelled:
-            length = np.searchsorted(tok, tok, "right") - np.searchsorted(tok, tok, "left")
-            k = np.flatnonzero(length > SHORT_LIST)
-            if len(k):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc[k]), pa.nulls(len(k), pa.int64()), pa.array(tok[k]), pa.array(size[k], pa.int32()),
-                     pa.array(pos[k], pa.int32()), pa.array([x.tobytes() for x in sketch[k]], pa.binary()),
-                     pa.array(side[k], pa.int32())], schema=PAIRS)
+        k = np.flatnonzero(np.isin(tok, tok[cut]))
+        if len(k):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(doc[k]), pa.nulls(len(k), pa.int64()), pa.array(tok[k]), pa.array(size[k], pa.int32()),
+                 pa.array(pos[k], pa.int32()), pa.array([x.tobytes() for x in sketch[k]], pa.binary()),
+                 pa.array(side[k], pa.int32())], schema=PAIRS)
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -326,29 +344,39 @@ def jaccard_components(docs: DataFrame, width: int = 3, num: int = 90, den: int
             rows = attach(rows, names, c).withColumn(f"l{c}", F.coalesce(f"l{c}", c))
         return rows.where("la <> lb").drop("la", "lb")
 
-    # answers of a set are those of the component it has joined: only pairs that lead out of it are verified,
-    # a round with the closest partner of each set, then all that are left
-    open_ = materialize(by_rep(pairs))
-    links = comp = tried = None
-    for last in (False, True):
-        if last:
-            # the long lists once more, with the components known
-            long_ = first.where("b is null").select(F.col("a").alias("doc_id"), "tok", "size", "pos", "sketch",
-                                                   "side")
-            labels = attach(rep.where("doc_id is not null").select("doc_id", F.col("rep").alias("node")), comp, "node")
-            labels = materialize(labels.where("component is not null or node <> doc_id").select(
-                "doc_id", F.coalesce("component", "node").alias("label")))
-            marked = attach(long_, labels, "doc_id").select(
-                "tok", "doc_id", "size", "pos", "sketch", "side", F.coalesce("label", "doc_id").alias("label"))
-            more = marked.repartition(n, "tok").sortWithinPartitions("tok", "size", "doc_id").mapInArrow(
-                _Lists(num, den, True), PAIR_ROWS)
-            more = by_rep(more.select("a", "b", F.col("size").alias("apart")))
-            open_ = outside(open_, comp).unionByName(more).groupBy("a", "b").agg(F.min("apart").alias("apart")).join(
-                tried, ["a", "b"], "left_anti")
-        picked = materialize((open_ if last else _nearest(open_)).select("a", "b"))
-        new = _links(base, picked, width, num, den)
-        links, tried = (new if links is None else links.unionByName(new)), picked
-        comp = materialize(components(links))
+    # answers of a set are those of the component it has joined: only pairs that lead out of it are verified
+    many = ids.count() // 4
+    lists, limit = first.where("b is null"), 1
+    open_ = by_rep(pairs)
+    links = tried = spark.createDataFrame([], "a long, b long")
+    comp = spark.createDataFrame([], "node long, component long")
+    while True:
+        for closest in range(CLOSEST_ROUNDS, -1, -1):
+            open_ = materialize(outside(open_, comp).join(tried, ["a", "b"], "left_anti"))
+            left = open_.count()
+            if not left:
+                break
+            all_ = not closest or left <= many
+            picked = materialize((open_ if all_ else _nearest(open_)).select("a", "b"))
+            links = links.unionByName(_links(base, picked, width, num, den))
+            tried = tried.unionByName(picked)
+            comp = materialize(components(links))
+            if all_:
+                break
+        if lists.isEmpty():
+            break
+        # the lists that are not done once more, with the components known
+        limit *= MORE_PARTNERS
+        labels = attach(rep.where("doc_id is not null").select("doc_id", F.col("rep").alias("node")), comp, "node")
+        labels = materialize(labels.where("component is not null or node <> doc_id").select(
+            "doc_id", F.coalesce("component", "node").alias("label")))
+        entry = lists.select(F.col("a").alias("doc_id"), "tok", "size", "pos", "sketch", "side")
+        marked = attach(entry, labels, "doc_id").select(
+            "tok", "doc_id", "size", "pos", "sketch", "side", F.coalesce("label", "doc_id").alias("label"))
+        found = materialize(marked.repartition(n, "tok").sortWithinPartitions("tok", "size", "doc_id").mapInArrow(
+            _Lists(num, den, True, limit), PAIR_ROWS))
+        lists = found.where("b is null")
+        open_ = by_rep(found.where("b is not null").select("a", "b", F.col("size").alias("apart")))
     found = attach(rep.withColumnRenamed("rep", "node"), comp, "node")
     return found.select("doc_id", "n_shingles", F.coalesce("component", "node").alias("component_id"))
 
