@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A lookup table of at most this many rows and bytes of text is broadcast; text is
@@ -24,7 +24,7 @@ def text_bytes(table: DataFrame) -> int:
     wide = [c for c, kind in table.dtypes if kind in ("string", "binary")]
     if not wide:
         return 0
-    size = sum((F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)).cast("long") for c in wide), F.lit(0).cast("long"))
+    size = sum((F.coalesce(F.octet_length(_col(c)), F.lit(0)).cast("long") for c in wide), F.lit(0).cast("long"))
     return table.agg(F.sum(size)).first()[0] or 0
 
 
@@ -46,19 +46,36 @@ def hot_key_lookup(rows: DataFrame, table: DataFrame, on: Sequence[str], weight:
     """
     on = list(on)
     payload = [c for c in table.columns if c not in on and c != weight]
-    whole = table.agg(F.sum(weight)).scalar() if total is None else F.lit(total)
+    hot_, cold_, salt_ = (_unused(c, [*rows.columns, *table.columns]) for c in ("_hot", "_cold", "_salt"))
+    whole = table.agg(F.sum(_col(weight))).scalar() if total is None else F.lit(total)
     share = whole.cast("double")
-    is_hot = F.col(weight) >= F.greatest(F.least(share / HOT_PARTS, F.lit(float(HOT_ROWS))), share / BROADCAST_ROWS)
-    hot = table.where(is_hot).select(*on, F.struct(*payload).alias("_hot"))
-    cold = table.where(~is_hot).select(
-        *on, F.lit(0).alias("_salt"), F.struct(*payload).alias("_cold"))
+    is_hot = _col(weight) >= F.greatest(F.least(share / HOT_PARTS, F.lit(float(HOT_ROWS))), share / BROADCAST_ROWS)
+    keys = [_col(c) for c in on]
+    values = F.struct(*[_col(c).alias(f"p{i}") for i, c in enumerate(payload)])
+    hot = table.where(is_hot).select(*keys, values.alias(hot_))
+    cold = table.where(~is_hot).select(*keys, F.lit(0).alias(salt_), values.alias(cold_))
     no_key = F.lit(False)
-    for c in on:
-        no_key = no_key | F.col(c).isNull()
-    spread = F.lit(1) + F.pmod(F.xxhash64(*rows.columns), F.lit(SPREAD)).cast("int")
+    for c in keys:
+        no_key = no_key | c.isNull()
+    # maps have no hash; what is left tells the rows of a hot key apart well enough
+    hashed = [_col(f.name) for f in rows.schema.fields if "map<" not in f.dataType.simpleString()]
+    spread = F.lit(1) + F.pmod(F.xxhash64(*hashed) if hashed else F.lit(0), F.lit(SPREAD)).cast("int")
     salted = rows.join(F.broadcast(hot), on, "left").withColumn(
-        "_salt", F.when(F.col("_hot").isNotNull() | no_key, spread).otherwise(F.lit(0)))
-    joined = salted.join(cold, on + ["_salt"], "left")
-    found = F.coalesce(F.col("_hot"), F.col("_cold"))
+        salt_, F.when(F.col(hot_).isNotNull() | no_key, spread).otherwise(F.lit(0)))
+    joined = salted.join(cold, [*on, salt_], "left")
+    found = F.coalesce(F.col(hot_), F.col(cold_))
     return joined.select(
-        *rows.columns, *[found.getField(c).alias(c) for c in payload])
+        *[_col(c) for c in rows.columns], *[found.getField(f"p{i}").alias(c) for i, c in enumerate(payload)])
+
+
+def _col(name: str) -> Column:
+    """The column of that very name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def _unused(name: str, taken: Sequence[str]) -> str:
+    """``name``, lengthened until it is none of the taken ones."""
+    lower = {c.lower() for c in taken}
+    while name in lower:
+        name += "_"
+    return name
