@@ -12,6 +12,8 @@ from loanloom.llm.tables import attach, materialize, partitions
 
 #: Nodes that a task keeps while it contracts its own edges; it then starts anew.
 LOCAL_NODES = 300_000
+#: Rounds go on while there are more edges than this; one task contracts the last ones.
+LAST_EDGES = 100_000
 
 
 def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -48,7 +50,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round hooks every node to the neighbour of least hash if that is below
     its own, names the groups by it, and keeps the edges between groups; hashes
-    make the number of groups fall geometrically on chains, too.
+    make the number of groups fall geometrically on chains, too. Once no more
+    than ``LAST_EDGES`` edges are left, a task contracts them.
     """
     n = partitions(edges.sparkSession)
 
@@ -59,7 +62,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     e = contracted(edges.select("a", "b"))
     maps: list[DataFrame] = []
-    while not e.isEmpty():
+    while e.count() > LAST_EDGES:
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         order = lambda c: F.struct(F.xxhash64(c), F.col(c))
         best = both.groupBy("a").agg(F.min(order("b")).alias("m")).select(
@@ -70,8 +73,11 @@ def components(edges: DataFrame) -> DataFrame:
             rows, best.select(F.col("node").alias(c), F.col("label").alias(f"l{c}")), c)
         groups = named(named(e, "a"), "b").select(F.col("la").alias("a"), F.col("lb").alias("b"))
         e = contracted(groups.where("a <> b"))
-    if not maps:
-        return edges.select(F.col("a").alias("node"), F.col("a").alias("component")).limit(0)
+    stars = materialize(e.coalesce(1).mapInArrow(_contract, "node long, label long"))
+    roots = stars.select(F.col("label").alias("node"), "label").distinct()
+    maps.append(materialize(stars.unionByName(roots)))
+    if len(maps) == 1:  # a star's centre is its least node
+        return maps[0].withColumnRenamed("label", "component")
     found = maps[0]
     for m in maps[1:]:
         step = m.select(F.col("node").alias("label"), F.col("label").alias("next"))

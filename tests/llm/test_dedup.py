@@ -1,9 +1,10 @@
 import hashlib
 from collections import defaultdict
 
+import pytest
 from helpers import SF, edge_docs, edge_rows, no_docs, words
 
-from loanloom.llm import exact_dedup, jaccard_join, line_dedup, suffix_dedup
+from loanloom.llm import exact_dedup, graph, jaccard_join, line_dedup, suffix_dedup
 from loanloom.llm.graph import components
 from loanloom.llm.queries import QUERIES
 
@@ -103,7 +104,10 @@ def test_jaccard_query(spark):
     assert got == _components(_sets(rows, 3), 90, 100)
 
 
-def test_components_of_a_long_chain(spark):
+@pytest.mark.parametrize("last", [0, 20, 100_000])
+def test_components_of_a_long_chain(spark, monkeypatch, last):
+    monkeypatch.setattr(graph, "LAST_EDGES", last)
+    monkeypatch.setattr(graph, "LOCAL_NODES", max(3, 2 * last))  # tasks cannot contract much by themselves
     edges = [(k, k + 1) for k in range(300)] + [(1000, 2000), (2000, 1500), (5, 5)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long").repartition(8)).collect()}
     assert got == {**dict.fromkeys(range(301), 0), **dict.fromkeys((1000, 1500, 2000), 1000)}
