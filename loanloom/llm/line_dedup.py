@@ -1,10 +1,12 @@
 """Line dedup: repeated runs of two lines or more are removed after their bytes have been compared.
 
-Every pair of adjacent lines is hashed; pairs whose hash occurs again anywhere,
-in the same or another document, are compared by their bytes. A line goes if a
-pair it stands in occurred before (at a lesser doc_id, then place). Since a
-repeated run is made of repeated pairs, the whole run goes whatever lies around
-it, and every line that goes has an equal one that stays.
+A unit is two lines that are not blank and the blank ones between them, and
+begins at every line that is not blank. Units whose hash occurs again anywhere,
+in the same or another document, are compared by their bytes. The lines of a
+unit go if it occurred before (at a lesser doc_id, then place). Since a
+repeated run is made of repeated units, the whole run goes whatever lies around
+it, and every line that goes has an equal one that stays. Blank lines alone are
+no run: they go only between two lines that do.
 
 Content-defined chunks (a second hash rolls over the last ``WINDOW`` line
 hashes, and where it is divisible by ``DIVISOR`` a chunk ends) only count what
@@ -49,8 +51,14 @@ def chunk_lines(data: bytes) -> list[tuple[int, list[bytes]]]:
     return out
 
 
+def units(lines: list[bytes]) -> list[tuple[int, int]]:
+    """(first, last) line of every unit; blank lines hold nothing but ASCII white space."""
+    solid = [k for k, line in enumerate(lines) if line.strip()]
+    return list(zip(solid, solid[1:], strict=False))
+
+
 def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text) -> place and hash of each pair of adjacent lines."""
+    """(doc_id, text) -> place and hash of each unit."""
     for batch in batches:
         docs, idx, fps = [], [], []
 
@@ -59,11 +67,12 @@ def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [pa.array(docs, pa.int64()), pa.array(idx, pa.int32()), pa.array(fps, pa.int64())], ["doc_id", "idx", "fp"])
 
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            h = [xxhash.xxh3_64_intdigest(line) for line in text.as_buffer().to_pybytes().split(b"\n")]
-            for k in range(len(h) - 1):
+            lines = text.as_buffer().to_pybytes().split(b"\n")
+            h = [xxhash.xxh3_64_intdigest(line) for line in lines]
+            for k, end in units(lines):
                 docs.append(doc)
                 idx.append(k)
-                fps.append(((h[k] * _FACTOR + h[k + 1]) & _MASK) - (1 << 63))
+                fps.append(((h[k] * _FACTOR + h[end] + (end - k)) & _MASK) - (1 << 63))
                 if len(fps) >= EMIT_ROWS:
                     yield emit()
                     docs, idx, fps = [], [], []
@@ -72,7 +81,7 @@ def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text, at) -> place and bytes of the pairs that begin at the lines ``at`` (null: at every line)."""
+    """(doc_id, text, at) -> place and bytes of the units that begin at the lines ``at`` (null: of all units)."""
     for batch in batches:
         rows: list[tuple] = []
         size = 0
@@ -84,9 +93,10 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
         for doc, text, at in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
             lines = text.as_buffer().to_pybytes().split(b"\n")
-            for k in range(len(lines) - 1) if at is None else at:
-                if k + 1 < len(lines):
-                    rows.append((doc, k, lines[k] + b"\n" + lines[k + 1]))
+            ends = dict(units(lines))
+            for k in ends if at is None else at:
+                if k in ends:
+                    rows.append((doc, k, b"\n".join(lines[k:ends[k] + 1])))
                     size += len(rows[-1][2])
                 if size > 4 << 20 or len(rows) >= EMIT_ROWS:
                     yield emit()
@@ -104,13 +114,14 @@ EMIT_ROWS = 100_000
 
 
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text, gone) -> counts and the text without the lines of the pairs that begin at the lines ``gone``."""
+    """(doc_id, text, gone) -> counts and the text without the lines of the units that begin at the lines ``gone``."""
     for batch in batches:
         out = []
         for text, gone in zip(batch.column(1), batch.column(2).to_pylist(), strict=True):
             data = text.as_buffer().to_pybytes()
             chunks, lines = chunk_lines(data), data.split(b"\n")
-            lost = {k for g in gone or () for k in (g, g + 1) if k < len(lines)}
+            ends = dict(units(lines))
+            lost = {k for g in gone or () for k in range(g, ends.get(g, g - 1) + 1)}
             left = b"\n".join(line for k, line in enumerate(lines) if k not in lost)
             whole = sum(all(k in lost for k in range(begin, begin + len(part))) for begin, part in chunks)
             out.append((len(lines) if data else 0, len(chunks) if data else 0, whole, len(lost), left.decode()))
@@ -128,7 +139,8 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     null doc_id come before all others in the choice of what stays, and stay
     whole. Rows that share doc_id and text are told apart by nothing: all of
     them keep or lose the same lines. ``n_chunks`` counts content-defined
-    chunks, ``n_removed_chunks`` those that lost all of their lines.
+    chunks, ``n_removed_chunks`` those that lost all of their lines. Blank lines
+    at a text's ends, beside lines that stay, or of a text without others stay.
     """
     base = texts(docs)
     marks = materialize(base.mapInArrow(_marks, MARK))

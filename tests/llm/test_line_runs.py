@@ -9,14 +9,18 @@ from loanloom.llm.queries import QUERIES
 
 
 def _pairs_brute(rows):
-    """Every line of a pair of adjacent lines that occurred before goes."""
+    """Every line from a line that is not blank to the next such line goes if those bytes occurred before."""
     seen, out = set(), {}
     for i, t in sorted(rows, key=lambda r: -1 if r[0] is None else r[0]):
         lines, lost = (t or "").encode().split(b"\n"), set()
-        for k in range(len(lines) - 1):
-            if (lines[k], lines[k + 1]) in seen and i is not None:
-                lost |= {k, k + 1}
-            seen.add((lines[k], lines[k + 1]))
+        for k in range(len(lines)):
+            end = next((e for e in range(k + 1, len(lines)) if lines[e].strip(b" \t\n\v\f\r")), None)
+            if end is None or not lines[k].strip(b" \t\n\v\f\r"):
+                continue
+            unit = b"\n".join(lines[k:end + 1])
+            if unit in seen and i is not None:
+                lost |= set(range(k, end + 1))
+            seen.add(unit)
         out[i] = ("\n".join(x.decode() for k, x in enumerate(lines) if k not in lost), len(lost))
     return out
 
@@ -41,6 +45,15 @@ def test_short_runs_go_whole_amid_other_lines(spark):
     assert got[i + 1][1] == 0  # one shared line is no run
 
 
+def test_blank_lines_are_no_runs(spark):
+    rows = [(1, "p1\n\n\np2"), (2, "q1\n\n\nq2"), (3, "\n\n\n"), (4, "z\np1\n\n\np2\n\ny"), (5, "p1\n\np2"),
+            (6, "p1\n \n\np2"), (7, "\n\n\n"), (8, "p1\n\n\np2\n\ny")]
+    got = _texts(line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert got == _pairs_brute(rows)
+    assert got[2] == ("q1\n\n\nq2", 0) and got[7] == ("\n\n\n", 0) and got[5][1] == got[6][1] == 0
+    assert got[4] == ("z\n\ny", 4) and got[8] == ("", 6)
+
+
 @pytest.mark.parametrize("limit", [200_000, 0])
 def test_runs_of_edge_rows(spark, monkeypatch, limit):
     monkeypatch.setattr(line_dedup, "attach", partial(line_dedup.attach, limit=limit))  # at 0, lookups are shuffled
