@@ -178,6 +178,62 @@ def test_folds_together_equal_folds_alone(table):
     assert metrics.roc_auc(held).first()["roc_auc"] == pytest.approx(together.fold_aucs[2], abs=0.03)
 
 
+@pytest.mark.parametrize("depth", [0, 1, 5, 6, 8])
+def test_leaf_tables_equal_a_walk(depth):
+    """Trees of 1, 2, 32 and 64 leaves by tables, one of more by its nodes; a bin of each column decides."""
+    rng = np.random.default_rng(depth)
+    t = boosting.Tree(depth=depth)
+    todo = [(0, None)]
+    while todo:
+        deep, parent = todo.pop()
+        i = len(t.left)
+        if parent is not None:
+            (t.right if t.left[parent] >= 0 else t.left)[parent] = i
+        inner = deep < depth
+        t.feature.append(int(rng.integers(0, 4)) if inner else 0)
+        t.bin.append(int(rng.integers(0, 15)) if inner else 0)
+        t.at.append(0.0)
+        t.value.append(0.0 if inner else float(i))
+        t.left.append(-1 if inner else i)
+        t.right.append(-1 if inner else i)
+        todo += [(deep + 1, i)] * 2 if inner else []
+    bins = rng.integers(0, 16, (4, 500)).astype(np.uint8)
+    want = []
+    for row in bins.T:
+        i = 0
+        while t.left[i] != i:
+            i = t.left[i] if row[t.feature[i]] <= t.bin[i] else t.right[i]
+        want.append(t.value[i])
+    routes = boosting.Routes(t)
+    assert (routes.leaves is None) == (depth == 8)
+    assert routes.values_of(boosting.Columns(bins)).tolist() == want
+
+
+def test_edges_of_many_ranges(spark, monkeypatch):
+    """Cut points from a few rows only, ties, one value throughout: the edges are those of exact ranks."""
+    monkeypatch.setattr(boosting, "CUT_ROWS", 300)
+    monkeypatch.setattr(boosting, "RANGES", 40)
+    rng = np.random.default_rng(4)
+    x = np.stack([rng.normal(size=3000), rng.integers(0, 5, 3000) * 1.0, np.full(3000, 7.0),
+                  np.where(rng.random(3000) < 0.6, 0.0, rng.exponential(size=3000))], axis=1)
+    rows = spark.createDataFrame([(r.tolist(),) for r in x], "x array<double>").repartition(3)
+    want = []
+    for column in x.T:
+        values, n = np.unique(column, return_counts=True)
+        part = np.ceil(np.cumsum(n) * 16 / 3000)
+        want.append([float(v) for v, p, q in zip(values, part, part[1:], strict=False) if p != q])
+    assert boosting.bin_edges(rows, 4, 16, "x") == want
+
+
+def test_passes_read_blocks(spark, table, monkeypatch):
+    """A pass gets blocks of rows as they were written: no row of the table is made anew for a task."""
+    read = []
+    rows = boosting._Boost._rows
+    monkeypatch.setattr(boosting._Boost, "_rows", lambda self: read.append(rows(self).count()) or rows(self))
+    _fit(table.coalesce(1), BoostSettings(n_estimators=1, max_depth=2, num_leaves=0, max_bins=16))
+    assert read and max(read) < 10
+
+
 def test_saved_and_read_again(table, tmp_path):
     model = training.fit_model(training.build_model("catboost", {"n_estimators": 2, "depth": 3}), table)
     model.write().overwrite().save(str(tmp_path / "m"))
