@@ -10,8 +10,7 @@ from loanloom.operators.features import (BaseFeatureEngineer, add_extra_features
                                          native_categories)
 from loanloom.operators.metrics import roc_auc
 from loanloom.operators.ordered import medians, percent_rank_in_group
-from loanloom.operators.features import fitted_ranks, interpolated, modes
-from loanloom.operators.joins import lookup
+from loanloom.operators.features import fine_fitted_ranks, modes
 from loanloom.plans.catalog import query
 from loanloom.plans.loanview import loan_view, scored_rows, test_rows, train_rows
 from loanloom.schema import CATEGORICAL_COLS, DATE_COLS, ID_COL, MISSING_FLAG_COLS, NUMERIC_COLS
@@ -364,10 +363,8 @@ def fitted_rank(spark, sf):
     train = train_rows(spark, sf, ["amount_usd", "product_code"])
     test = test_rows(spark, sf, ["ID", "amount_usd", "product_code"])
     parts = 1 << 20
-    table = materialize(fitted_ranks(train, "amount_usd", "product_code", parts))
-    found = lookup(test, table, ["product_code"], table.count(), "n")
-    rank = interpolated(F.col("amount_usd").cast("double"), F.col("xs"), F.col("ys"), 2 * parts)
-    return found.select("ID", F.round(rank, 7).alias("amount_rank_in_product"))
+    ranked = fine_fitted_ranks(test, train, "amount_usd", "product_code", "rank", parts)
+    return ranked.select("ID", F.round("rank", 7).alias("amount_rank_in_product"))
 
 
 @query("c29_income_rank", _rank_sql("monthly_income_usd", "province", "income_rank_in_province"))

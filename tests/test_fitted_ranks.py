@@ -54,3 +54,19 @@ def test_stream_scores_equal_batch_scores(spark, train, test_set, folds, tmp_pat
     q.awaitTermination()
     rows = spark.read.parquet(str(tmp_path / "out")).collect()
     assert len(rows) == len(want) and {r.ID: r.score for r in rows} == pytest.approx(want, abs=1e-12)
+
+
+def test_pieces_equal_the_whole_line(spark):
+    """A row carries the knots of one piece, however many its group has, and its rank is that of the whole line."""
+    rows = [(i, "a" if i % 3 else "b", None if i % 41 == 0 else float(i * 37 % 211)) for i in range(600)]
+    train = spark.createDataFrame([(i, None if i % 50 == 0 else g, v) for i, g, v in rows], "ID int, g string, v double")
+    asked = spark.createDataFrame(
+        [(i, None if i % 29 == 0 else "new" if i % 31 == 0 else g, None if v is None else v * 1.1 - 5) for i, g, v in rows],
+        "ID int, g string, v double")
+    line = features.interpolated(F.col("v"), F.col("xs"), F.col("ys"), 1 << 12)
+    whole = asked.join(features.fitted_ranks(train, "v", "g", 1024), "g", "left").select("ID", line.alias("y"))
+    fine = features.fine_fitted_ranks(asked, train, "v", "g", "y", 1024, 16)
+    assert fine.columns == ["ID", "g", "v", "y"]
+    want = {r.ID: r.y for r in whole.collect()}
+    assert {r.ID: r.y for r in fine.collect()} == want and len(want) == 600
+    assert sum(y is not None for y in want.values()) > 400
