@@ -4,11 +4,14 @@ Bytes are coded bit by bit. For each of the contexts of 1 to 5 bytes a hashed
 table holds how often the next bit was 0 or 1, counted over the whole training
 corpus. The predictors' log odds are combined by weights that a gate picks by
 how much the two longest contexts have seen; an adaptive map then refines the
-result by the bits of the current byte. Weights and map are learned online, bit
-after bit, on a bounded sample, where each position's own count is taken out of
-the tables; after that they stay as they are, so a score depends neither on
-the order of rows nor on partitions. A text ends with a coded end mark, which
-makes the scores probabilities of whole texts.
+result by the bits of the current byte. Weights and map are learned from every
+bit of the training corpus, where each position's own count is taken out of the
+tables. What is predicted depends on the last bytes alone, so each distinct
+string of them is mixed once, with its count as its weight. A pass adds up, for
+each gate, gradient and curvature of the coding cost; a few Newton steps find
+the weights, and the last pass counts the map. A score depends neither on the
+order of rows nor on partitions. A text ends with a coded end mark, which makes
+the scores probabilities of whole texts.
 """
 
 from __future__ import annotations
@@ -37,19 +40,20 @@ HELD = 400_000
 #: Words that are looked up without a shuffle: at most so many, of at most so many bytes each.
 FREQUENT = 100_000
 FREQUENT_BYTES = 64
-#: Bound of the sample for the mixing weights: documents, and bytes of each.
-SAMPLE_DOCS = 400
-SAMPLE_BYTES = 1200
+#: Counts of a cell while the mixing is learned go up to this; pairs beyond it are halved until they fit.
+MOST = (1 << 16) - 1
+#: The map starts as if each of its cells had seen so many bits.
+PRIOR = 16
 _LIMIT = 6.0
+GATES = 64
 
 
 @dataclass
 class Params:
-    lanes: int = 256
-    passes: int = 2
-    rate: float = 0.003
-    map_rate: float = 0.02
-    seed: int = 5
+    """``lanes``: strings that are mixed side by side; ``passes``: Newton steps at most."""
+
+    lanes: int = 1 << 15
+    passes: int = 3
 
 
 # --- byte strings -----------------------------------------------------------
@@ -88,26 +92,48 @@ def _cell(h: np.ndarray, node: np.ndarray, bits: int) -> np.ndarray:
     return (((h ^ (node.astype(U) * U(0xC2B2AE3D27D4EB4F))) * U(0x9E3779B97F4A7C15)) >> U(64 - bits)).astype(np.int64)
 
 
+def _distinct(grams: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The strings in order, each once, with the sum of its counts."""
+    both, n = np.concatenate(grams), np.concatenate(counts)
+    order = np.argsort(both, kind="stable")
+    both, n = both[order], n[order]
+    first = np.flatnonzero(np.r_[True, both[1:] != both[:-1]])
+    return both[first], np.add.reduceat(n, first)
+
+
+def _gram_rows(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], ["gram", "n"])
+
+
 def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Training texts -> (gram, n), each distinct string once a run of the task."""
     keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def out() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], ["gram", "n"])
-
     for batch in batches:
         for _, _, offs, data in text_slices(batch.column(1), MERGE_BYTES):
             new, n = np.unique(coded(data, offs)[0], return_counts=True)
-            both = np.r_[keys, new]
-            order = np.argsort(both, kind="stable")
-            both, n = both[order], np.r_[counts, n][order]
-            first = np.flatnonzero(np.r_[True, both[1:] != both[:-1]])
-            keys, counts = both[first], np.add.reduceat(n, first)
+            keys, counts = _distinct([keys, new], [counts, n])
             if len(keys) > 4 * HELD:
-                yield out()
+                yield _gram_rows(keys, counts)
                 keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
     if len(keys):
-        yield out()
+        yield _gram_rows(keys, counts)
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(gram, n) of many tasks -> (gram, n), each distinct string once a run of the task."""
+    keys, counts, size = [], [], 0
+    for batch in batches:
+        keys.append(batch.column(0).to_numpy().astype(np.int64))
+        counts.append(batch.column(1).to_numpy().astype(np.int64))
+        size += batch.num_rows
+        if size > 4 * HELD:
+            one, n = _distinct(keys, counts)
+            keys, counts, size = [one], [n], len(one)
+            if size > 2 * HELD:
+                yield _gram_rows(one, n)
+                keys, counts, size = [], [], 0
+    if size:
+        yield _gram_rows(*_distinct(keys, counts))
 
 
 def _narrow(counts: np.ndarray) -> bytes:
@@ -212,76 +238,151 @@ class Mixer:
         return out
 
 
-def learn_mixer(tables: list[np.ndarray], sample: list[bytes], p: Params) -> Mixer:
-    """Weights and refinement, learned online over the sample's bits in parallel lanes."""
-    weights = np.tile(np.r_[np.arange(ORDER + 1) * 2 / (ORDER * (ORDER + 1)), 0.0], (64, 1))
+def _packed_counts(table: np.ndarray) -> np.ndarray:
+    """Zeros and ones of each cell in one number of 32 bits."""
+    most = np.maximum(table.max(axis=0).astype(np.int64), 1)
+    halvings = np.maximum(0, np.ceil(np.log2((most + 1) / (MOST + 1)))).astype(np.int64)
+    zeros, ones = table.astype(np.int64) >> halvings
+    return (zeros | ones << 16).astype(np.uint32)
+
+
+def _first_weights() -> np.ndarray:
+    """Longer contexts weigh more; the last input is always one."""
+    return np.tile(np.r_[np.arange(ORDER + 1) * 2 / (ORDER * (ORDER + 1)), 0.0], (GATES, 1))
+
+
+@dataclass
+class Sums:
+    """What a pass over weighted strings adds up."""
+
+    cost: np.ndarray        # (gate): nats
+    slope: np.ndarray       # (gate, input): how the cost falls
+    curve: np.ndarray       # (gate, input, input)
+    seen: np.ndarray        # (zeros and ones, bits so far x bucket)
+
+    @classmethod
+    def none(cls) -> Sums:
+        return cls(np.zeros(GATES), np.zeros((GATES, ORDER + 2)), np.zeros((GATES, ORDER + 2, ORDER + 2)), np.zeros((2, 256 * 33)))
+
+    def raw(self) -> bytes:
+        return b"".join(a.tobytes() for a in (self.cost, self.slope, self.curve, self.seen))
+
+    def add_raw(self, raw: bytes) -> None:
+        at, flat = 0, np.frombuffer(raw)
+        for a in (self.cost, self.slope, self.curve, self.seen):
+            a += flat[at:at + a.size].reshape(a.shape)
+            at += a.size
+
+
+def mixing_sums(packed: list[np.ndarray], weights: np.ndarray, gram: np.ndarray, n: np.ndarray, lanes: int, sums: Sums) -> None:
+    """Add what the bits of strings, each seen ``n`` times, say about the weights."""
+    logs = np.log(np.arange(MOST + 1) + 0.4)
+    levels = _level(np.arange(128))
+    for lo in range(0, len(gram), lanes):
+        g, times = gram[lo:lo + lanes], n[lo:lo + lanes].astype(float)
+        contexts = _slots(g)
+        x = np.ones((ORDER + 2, len(g)))
+        for bit in range(8):
+            node = (1 << bit) | ((g & 255) >> (8 - bit))
+            one = (g >> (7 - bit)) & 1
+            level = [np.zeros(0)] * (ORDER + 1)
+            for k in range(ORDER + 1):
+                both = packed[k].take(node if k == 0 else _cell(contexts[k - 1], node, BITS[k - 1])).astype(np.int64)
+                # the position's own count is not evidence for itself
+                n0, n1 = np.maximum((both & MOST) - 1 + one, 0), np.maximum((both >> 16) - one, 0)
+                x[k] = np.clip(logs.take(n1) - logs.take(n0), -_LIMIT, _LIMIT)
+                if k >= ORDER - 1:
+                    level[k] = levels.take(np.minimum(n0 + n1, 127))
+            gate = level[ORDER] * 8 + level[ORDER - 1]
+            order = np.argsort(gate.astype(np.uint8), kind="stable")
+            gate, y, t, xs = gate[order], one[order], times[order], x[:, order]
+            z = np.einsum("ki,ki->i", weights.T[:, gate], xs)
+            p = 1 / (1 + np.exp(-z))
+            first = np.flatnonzero(np.r_[True, gate[1:] != gate[:-1]])
+            miss, bend = t * (y - p), xs * (t * p * (1 - p))
+            for a, b in zip(first, np.r_[first[1:], len(gate)], strict=True):
+                sums.slope[gate[a]] += xs[:, a:b] @ miss[a:b]
+                sums.curve[gate[a]] += bend[:, a:b] @ xs[:, a:b].T
+            sums.cost += np.bincount(gate, t * np.logaddexp(0, np.where(y == 1, -z, z)), GATES)
+            cell = node[order] * 33 + _bucket(z)
+            for value in range(2):
+                sums.seen[value] += np.bincount(cell, t * (y == value), 256 * 33)
+
+
+def fit_mixing(run, passes: int) -> tuple[np.ndarray, np.ndarray]:
+    """(weights, refinement) by up to ``passes`` Newton steps; ``run`` adds up one pass with given weights.
+
+    A gate whose cost has grown goes halfway back. The last pass only counts.
+    """
+    weights = best = _first_weights()
+    least = np.full(GATES, np.inf)
+    step = np.zeros_like(best)
+    for turn in range(passes + 1):
+        sums = run(weights)
+        better = sums.cost <= least
+        step = np.where(better[:, None], np.linalg.solve(sums.curve + np.eye(ORDER + 2), sums.slope[..., None])[..., 0], step / 2)
+        best, least = np.where(better[:, None], weights, best), np.where(better, sums.cost, least)
+        # what another step may gain
+        gain = 0.5 * (step * sums.slope)[better].sum()
+        if turn == passes or (better.all() and gain <= 1e-3 * least.sum()):
+            break
+        # sums of doubles depend on their order in the last digits only
+        weights = np.round(best + step, 6)
     center = 1 / (1 + np.exp(-(np.arange(33) / 2 - 8)))
-    refine = np.tile(center, (256, 1))
-    parts = [coded(np.frombuffer(s, np.uint8), np.array([0, len(s)]))[0] for s in sample]
-    stream = np.concatenate(parts) if parts else np.zeros(0, np.int64)
-    lanes = max(1, min(p.lanes, len(stream) // 64))
-    steps = len(stream) // lanes
-    lane = stream[:steps * lanes].reshape(lanes, steps)
-    for _ in range(p.passes if len(stream) else 0):
-        for t in range(steps):
-            g = lane[:, t]
-            contexts = _slots(g)
-            for bit in range(8):
-                node = (1 << bit) | ((g & 255) >> (8 - bit))
-                one = (g >> (7 - bit)) & 1
-                x = np.ones((lanes, ORDER + 2))
-                seen = []
-                for k in range(ORDER + 1):
-                    at = node if k == 0 else _cell(contexts[k - 1], node, BITS[k - 1])
-                    n0, n1 = tables[k][0, at], tables[k][1, at]
-                    # the position's own count is not evidence for itself
-                    n0, n1 = np.maximum(n0 - (one == 0), 0), np.maximum(n1 - (one == 1), 0)
-                    x[:, k] = _odds(n0, n1)
-                    seen.append(n0 + n1)
-                gate = _level(seen[-1]) * 8 + _level(seen[-2])
-                z = (weights[gate] * x).sum(axis=1)
-                err = one - 1 / (1 + np.exp(-z))
-                size = np.bincount(gate, minlength=64)[gate]
-                step = (p.rate * np.minimum(size, 8) / size * err)[:, None] * x
-                np.add.at(weights, gate, step)
-                cell = node * 33 + _bucket(z)
-                flat = refine.reshape(-1)
-                count = np.bincount(cell, minlength=flat.size)
-                miss = np.bincount(cell, one - flat[cell], flat.size)
-                hit = np.flatnonzero(count)
-                flat[hit] += miss[hit] / count[hit] * (1 - (1 - p.map_rate) ** count[hit])
+    start = np.tile(center, 256)
+    refine = (sums.seen[1] + PRIOR * start) / (sums.seen.sum(axis=0) + PRIOR)
+    return best, refine.reshape(256, 33)
+
+
+def _mixer(tables: list[np.ndarray], weights: np.ndarray, refine: np.ndarray) -> Mixer:
     odds = [_odds(t[0], t[1]).astype(np.float16) for t in tables]
     level = [_level(tables[k][0] + tables[k][1]).astype(np.uint8) for k in (ORDER - 1, ORDER)]
     return Mixer(odds, level, weights, refine)
 
 
+def learn_mixer(tables: list[np.ndarray], texts_: list[bytes], p: Params) -> Mixer:
+    """Weights and refinement for some texts in memory."""
+    parts = [np.unique(coded(np.frombuffer(t, np.uint8), np.array([0, len(t)]))[0], return_counts=True) for t in texts_]
+    gram, n = _distinct(*zip(*parts, strict=True)) if parts else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    packed = [_packed_counts(t) for t in tables]
+
+    def run(weights: np.ndarray) -> Sums:
+        sums = Sums.none()
+        mixing_sums(packed, weights, gram, n, p.lanes, sums)
+        return sums
+
+    return _mixer(tables, *fit_mixing(run, p.passes))
+
+
 def train_mixer(docs: DataFrame, params: Params | None = None) -> Mixer:
-    """Count all of ``docs`` (doc_id, text) and learn the mixing on a sample of about SAMPLE_DOCS of them."""
+    """Count all of ``docs`` (doc_id, text) and learn the mixing from all of them."""
     p = params or Params()
     spark = docs.sparkSession
     n = partitions(spark)
-    grams = docs.mapInArrow(_grams, "gram long, n long")
-    cells = grams.repartition(n, F.expr("gram >> 8 & 16777215")).mapInArrow(_count_bits, CELLS)
+    grams = materialize(docs.mapInArrow(_grams, "gram long, n long").repartition(n, F.expr("gram >> 8 & 16777215")).mapInArrow(
+        _merged, "gram long, n long"))
+    cells = grams.mapInArrow(_count_bits, CELLS)
     tables = [np.zeros((2, 1 << b), np.int64) for b in (8, *BITS)]
     for r in cells.repartition(n, "tab", "run").mapInArrow(_sum_cells, CELLS).toLocalIterator():
         at = r.run * RUN + np.frombuffer(bytes(r.places), np.uint16).astype(np.int64)
         tables[r.tab][0, at] = _wide(bytes(r.zeros), len(at))
         tables[r.tab][1, at] = _wide(bytes(r.ones), len(at))
-    scale = 1 << 30
-    share = int(scale * min(1.0, SAMPLE_DOCS / max(1, docs.count())))
-    drawn = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(p.seed)), F.lit(scale)) < share)
-
-    def window(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, out = batch.column(0).to_pylist(), []
-            for doc, text in zip(ids, batch.column(1), strict=True):
-                data = text.as_buffer().to_pybytes()
-                at = np.random.default_rng([p.seed, abs(doc or 0)]).integers(0, max(1, len(data) - SAMPLE_BYTES + 1))
-                out.append(data[at:at + SAMPLE_BYTES])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["doc_id", "part"])
-
-    got = sorted((r.doc_id or 0, bytes(r.part)) for r in drawn.mapInArrow(window, "doc_id long, part binary").collect())
-    return learn_mixer(tables, [b for _, b in got], p)
+    sent = spark.sparkContext.broadcast([_packed_counts(t) for t in tables])
+
+    def run(weights: np.ndarray) -> Sums:
+        def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            own = Sums.none()
+            for batch in batches:
+                mixing_sums(sent.value, weights, batch.column(0).to_numpy(), batch.column(1).to_numpy(), p.lanes, own)
+            yield pa.RecordBatch.from_arrays([pa.array([own.raw()], pa.binary())], ["sums"])
+
+        total = Sums.none()
+        # a row of fixed size for each task
+        for r in grams.mapInArrow(learn, "sums binary").collect():
+            total.add_raw(bytes(r.sums))
+        return total
+
+    return _mixer(tables, *fit_mixing(run, p.passes))
 
 
 def model_scores(docs: DataFrame, mixer: Mixer) -> DataFrame:
