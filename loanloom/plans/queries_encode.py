@@ -176,7 +176,7 @@ def _variant(spark, sf, name, **options):
 def _variants(spark, sf, names, **options):
     """Variants of all raw columns, rank features included."""
     train = materialize(train_rows(spark, sf))
-    test = test_rows(spark, sf).drop("Target")
+    test = materialize(test_rows(spark, sf).drop("Target"))
     return build_all_variants(train, test, folds.make_folds(train), names, engineer=BaseFeatureEngineer(), **options)
 
 
