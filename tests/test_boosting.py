@@ -234,6 +234,37 @@ def test_passes_read_blocks(spark, table, monkeypatch):
     assert read and max(read) < 10
 
 
+def test_blocks_are_kept_between_passes(table, monkeypatch):
+    """Passes read kept blocks, equal weights are one column for all seeds, and the trees do not depend on when margins are kept."""
+    fit = [F.when(F.col("fold_id") != k, 1.0) for k in range(2)]
+    s = BoostSettings(n_estimators=6, learning_rate=0.3, num_leaves=5, subsample=0.7, max_bins=16)
+
+    def trees():
+        found = boosting.boost(table, fit * 2, [F.lit(None).cast("double")] * 4, s, seeds=[1, 1, 2, 2])
+        return [m.getOrDefault("trees") for m in found]
+
+    want = trees()
+    seen = []
+    rows = boosting._Boost._rows
+    monkeypatch.setattr(boosting._Boost, "_rows", lambda self: seen.append((rows(self).is_cached, len(rows(self).first()[2]))) or rows(self))
+    monkeypatch.setattr(boosting, "KEEP_EVERY", 2)
+    monkeypatch.setattr(boosting, "WRITE_EVERY", 3)
+    monkeypatch.setattr(boosting, "DIRECT", 0)
+    monkeypatch.setattr(boosting, "SMALL", 40)
+    assert trees() == want and want[0] != want[2]
+    assert set(seen) == {(True, 2)}
+
+
+def test_sums_of_packed_cells():
+    rng = np.random.default_rng(5)
+    c = rng.integers(0, 7, 500)
+    # added up with the counts as one, and too large for that
+    for scale in (1 << 20, 1 << 43):
+        g, h = np.rint(rng.normal(size=500) * 1000), np.rint(rng.random(500) * scale)
+        want = [[sum(int(v) for v, at in zip(x, c, strict=True) if at == i) for i in range(8)] for x in (g, h, np.ones(500))]
+        assert boosting._adder(g, h, 8)(c).astype(int).tolist() == want
+
+
 def test_saved_and_read_again(table, tmp_path):
     model = training.fit_model(training.build_model("catboost", {"n_estimators": 2, "depth": 3}), table)
     model.write().overwrite().save(str(tmp_path / "m"))
