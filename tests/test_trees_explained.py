@@ -4,6 +4,7 @@ import itertools
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
@@ -148,3 +149,32 @@ def test_values_of_long_paths():
     for row, phi in zip(x, got, strict=True):
         v = {k: _expected(tree, row, set(k)) for k in ((), (0,), (1,), (0, 1))}
         assert phi == pytest.approx([((v[(0,)] - v[()]) + (v[(0, 1)] - v[(1,)])) / 2, ((v[(1,)] - v[()]) + (v[(0, 1)] - v[(0,)])) / 2])
+
+
+def test_sums_of_a_level_take_no_more_room_than_the_trees_own_nodes(monkeypatch):
+    """Ranges and sides of two trees against brute force; sums of a tree are made for its nodes, not for all open ones."""
+    rng = np.random.default_rng(4)
+    x, y, w = rng.random((90, 3)), (rng.random(90) < 0.4).astype(float), rng.integers(1, 5, 90).astype(float)
+    forest = random_trees._Forest(RandomTreeSettings(2, 3))
+    for t in range(2):
+        forest.splits[t] = {1: (t, 0.5), 2: (2, 0.3), 3: (2, 0.6)}
+        forest.sums[t] = {p: np.ones(3) for p in range(1, 8)}
+    nodes = [(t, p) for t in range(2) for p in range(4, 8)]
+    places = [{p: 4 * t + p - 4 for p in range(4, 8)} for t in range(2)]
+    open_ = random_trees._Open(*(np.array(v) for v in zip(*nodes, strict=True)),
+                               {t: boosting.Routes(forest.tree(t, places[t])) for t in range(2)})
+    batch = pa.RecordBatch.from_arrays([pa.array(y), pa.array(w), pa.array(x.tolist())], ["y", "w", "x"])
+    at = [[4 * t + (2 * int(v[t] > 0.5) + int(v[2] > (0.3 if v[t] <= 0.5 else 0.6))) for v in x] for t in range(2)]
+    members = [[i for i in range(90) if at[n // 4][i] == n] for n in range(8)]
+    low = next(random_trees._ranges(open_, 3)([batch]))
+    want = [min(x[i, f] for i in members[n]) for n in range(8) for f in range(3)]
+    assert low.column(1).to_pylist() == want
+    feature, bound = rng.integers(-1, 3, (8, 2)), rng.random((8, 2))
+    sizes, bincount = [], np.bincount
+    monkeypatch.setattr(np, "bincount", lambda c, *a, **k: sizes.append(len(bincount(c, *a, **k))) or bincount(c, *a, **k))
+    got = next(random_trees._sides(open_, feature, bound, 1.0)([batch]))
+    found = dict(zip(got.column(0).to_pylist(), zip(*(got.column(i).to_pylist() for i in (1, 2, 3)), strict=True), strict=True))
+    for j, n in itertools.product(range(2), range(8)):
+        left = [i for i in members[n] if feature[n, j] >= 0 and x[i, feature[n, j]] <= bound[n, j]]
+        assert found.get(8 * j + n, (0, 0, 0)) == (sum(w[i] for i in left if y[i]), sum(w[i] for i in left if not y[i]), len(left))
+    assert sum(sizes) <= 2 * 2 * (2 * 4 + 4)
