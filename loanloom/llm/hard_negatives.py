@@ -181,6 +181,18 @@ def _batch(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
 
 
+def _meetings(anchors: DataFrame, n: int, cands: DataFrame, copies: int, *more: str) -> DataFrame:
+    """Blocks of anchors beside blocks of candidates: a row for each two of one length.
+
+    The copies of the anchors, one for each candidate block, are as many bytes as
+    anchors times blocks. They are made in tasks and shuffled; a broadcast, which
+    their written size would allow, would bring all of them to the driver.
+    """
+    parts = partitions(anchors.sparkSession)
+    left, right = (t.repartition(parts, "dim", "block") for t in (_anchor_blocks(anchors, n, copies, *more), cands))
+    return left.join(right.hint("merge"), ["dim", "block"]).drop("dim", "block")
+
+
 def _anchor_blocks(anchors: DataFrame, n: int, copies: int, *more: str) -> DataFrame:
     """Blocks of anchors, one copy for each candidate block."""
     blocks = max(1, math.ceil(n / ANCHORS))
@@ -214,7 +226,9 @@ def hard_negatives(rows: DataFrame, n_positives: int = 5, n_negatives: int = 5,
     use = materialize(_usable(rows))
     count = use.count()
     least_rows, most_rows = CANDIDATES
-    n = max(1, math.ceil(count / min(most_rows, max(least_rows, count // partitions(spark)))))
+    # some blocks for each core are enough; more would only be more copies of the anchors
+    wanted = min(partitions(spark), 4 * max(2, spark.sparkContext.defaultParallelism))
+    n = max(1, math.ceil(count / min(most_rows, max(least_rows, count // wanted))))
     cands = materialize(
         use.select("dim", F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int").alias("block"), "vec_id", "label", "v")
         .repartition(max(n, partitions(spark)), "block").sortWithinPartitions("dim", "block")
@@ -222,7 +236,7 @@ def hard_negatives(rows: DataFrame, n_positives: int = 5, n_negatives: int = 5,
     anchors = materialize(use.where(anchor).withColumn("key", F.monotonically_increasing_id()))
     n_anchors = anchors.count()
 
-    found = _anchor_blocks(anchors, n_anchors, n).join(cands, ["dim", "block"]).drop("dim", "block").mapInArrow(
+    found = _meetings(anchors, n_anchors, cands, n).mapInArrow(
         _positives(n_positives), "a_key long, vec_id long, score long")
     order = [F.desc("score"), F.asc("vec_id")]
     best = Window.partitionBy("a_key").orderBy(*order)
@@ -231,7 +245,7 @@ def hard_negatives(rows: DataFrame, n_positives: int = 5, n_negatives: int = 5,
         .groupBy("a_key").agg(F.sort_array(F.collect_list(F.struct("r", "vec_id", "score"))).alias("p")))
 
     asked = anchors.join(positives.withColumnRenamed("a_key", "key"), "key").withColumn("bounds", F.col("p.score"))
-    near = _anchor_blocks(asked, n_anchors, n, "bounds").join(cands, ["dim", "block"]).drop("dim", "block").mapInArrow(
+    near = _meetings(asked, n_anchors, cands, n, "bounds").mapInArrow(
         _negatives(n_negatives, least, of), "a_key long, place int, vec_id long, score long")
     best = Window.partitionBy("a_key", "place").orderBy(*order)
     ranked = near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= n_negatives)
