@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from loanloom.operators import boosting, training
@@ -66,3 +67,29 @@ def test_grids_hold_what_features_hold():
         for rows in (np.arange(900), np.flatnonzero(rng.random(900) < 0.1), np.zeros(0, np.int64)):
             want = boosting.row_cells(bins.T[rows], g[rows], h[rows], allowed, 200)
             assert (grids.cells(rows, np.stack([g, h], axis=1), allowed, 200) == want).all()
+
+
+@pytest.mark.parametrize("leaves", [9, 100])
+def test_scores_by_places_among_thresholds(spark, table, leaves, monkeypatch):
+    """Scoring looks up tables of small integers; no row walks down a tree of up to 64 leaves by its values."""
+    s = BoostSettings(n_estimators=6, learning_rate=0.4, num_leaves=leaves, min_child_samples=2, max_bins=200)
+    model = boosting.boost(table, [F.lit(1.0)], [F.lit(0.0)], s)[0]
+    trees = model.tree_list()
+    rng = np.random.default_rng(2)
+    rows = [[float(v) for v in r] for r in rng.normal(1, 2, (300, 5))]
+    # values at thresholds, beside them, and outside all of them
+    rows += [[t.at[i] if t.feature[i] == f else at for f, at in enumerate(rows[i])] for t in trees for i in t.inner()[:20]]
+    rows += [[float("inf")] * 5, [float("-inf")] * 5, [float("nan")] * 5]
+    want = []
+    for x in rows:
+        out = model.base
+        for t in trees:
+            i = 0
+            while t.left[i] != i:
+                i = t.left[i] if x[t.feature[i]] <= t.at[i] else t.right[i]
+            out += t.value[i]
+        want.append(out)
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(rows)], "i int, x array<double>")
+    monkeypatch.setattr(boosting.Routes, "of_values", None)
+    got = model.transform(df.select("i", array_to_vector("x").alias("features"))).orderBy("i").select("margin").collect()
+    assert [r.margin for r in got] == want
